@@ -75,7 +75,7 @@ def _cuts(hot_rows: DataFrame, max_rows: int) -> list[float]:
 
 
 def cut(
-    df: DataFrame, by: Sequence[str], order: Order, max_rows: int = MAX_ROWS
+    df: DataFrame, by: Sequence[str], order: Order, max_rows: int | None = MAX_ROWS
 ) -> tuple[DataFrame, list[float]] | None:
     """Rows with their piece number, hot groups cut along the first order column.
 
@@ -96,18 +96,18 @@ def cut(
 def _number_pieces(rows: DataFrame, cuts: list[float], nulls_first: bool, pos: str = POS, out: str = PIECE):
     if cuts:
         find = Bucketizer(
-            splits=[-math.inf, *cuts, math.inf], inputCol="_find", outputCol="_found", handleInvalid="keep"
+            splits=[-math.inf, *cuts, math.inf], inputCol="_bin_in", outputCol="_bin_out", handleInvalid="keep"
         )
-        rows = find.transform(rows.withColumn("_find", F.coalesce(F.col(pos), F.lit(0.0))))
+        rows = find.transform(rows.withColumn("_bin_in", F.coalesce(F.col(pos), F.lit(0.0))))
     else:
-        rows = rows.withColumn("_found", F.lit(0.0)).withColumn("_find", F.lit(0.0))
+        rows = rows.withColumn("_bin_out", F.lit(0.0)).withColumn("_bin_in", F.lit(0.0))
     null_piece = -1 if nulls_first else len(cuts) + 2
     return rows.withColumn(
         out,
         F.when(F.col(HOT).isNull(), 0)
         .when(F.col(pos).isNull(), null_piece)
-        .otherwise(F.col("_found").cast("int")),
-    ).drop("_find", "_found")
+        .otherwise(F.col("_bin_out").cast("int")),
+    ).drop("_bin_in", "_bin_out")
 
 
 def _piece_summary(rows: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
@@ -147,7 +147,7 @@ def running(
     aggs: dict[str, tuple[str, str | Column]],
     frame: str = "rows",
     current: bool = True,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Running ``sum``, ``count``, ``min``, ``max`` or ``last`` (non-null) values.
 
@@ -204,7 +204,7 @@ def _rank_key(df: DataFrame, order: Order) -> list[Column]:
 
 def last_known(
     df: DataFrame, by: Sequence[str], order: Order, cols: dict[str, str | Column],
-    current: bool = True, max_rows: int = MAX_ROWS,
+    current: bool = True, max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Latest non-null value at or before each row."""
     return running(df, by, order, {o: ("last", c) for o, c in cols.items()}, "rows", current, max_rows)
@@ -212,7 +212,7 @@ def last_known(
 
 def next_known(
     df: DataFrame, by: Sequence[str], order: Order, cols: dict[str, str | Column],
-    current: bool = False, max_rows: int = MAX_ROWS,
+    current: bool = False, max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Earliest non-null value after (or at) each row."""
     return running(df, by, _reverse(order), {o: ("last", c) for o, c in cols.items()}, "rows", current, max_rows)
@@ -225,7 +225,7 @@ def ranked(
     row_number: str | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Row numbers and ranks over whole groups."""
     by = list(by)
@@ -266,7 +266,7 @@ def framed(
     before: int,
     after: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` ahead.
 
@@ -300,7 +300,7 @@ def time_framed(
     ts: str,
     seconds: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Window columns over all rows of the last ``seconds`` up to the current row.
 
@@ -321,7 +321,7 @@ def time_framed(
     return wide.filter(F.col("_at") == F.col(PIECE)).drop("_us", "_at", "_until", "_reach", PIECE, POS, HOT)
 
 
-def tiles(df: DataFrame, by: Sequence[str], order: Order, n: int, out: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def tiles(df: DataFrame, by: Sequence[str], order: Order, n: int, out: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
     """NTILE from the row number and the group size."""
     from tablecraft.plans.skew import over_group
 

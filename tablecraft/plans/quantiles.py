@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.plans.ordered import order_of, running
-from tablecraft.plans.skew import MAX_ROWS, hot_groups, over_group
+from tablecraft.plans.skew import MAX_ROWS, hot_groups, join_keys, over_group, with_scalars
 
 
 def percentiles(
     df: DataFrame, by: Sequence[str], col: str, wanted: dict[str, float],
-    approx: bool = False, max_rows: int = MAX_ROWS,
+    approx: bool = False, max_rows: int | None = MAX_ROWS, beside: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group with interpolated percentiles; NULL values are ignored.
 
@@ -21,12 +21,14 @@ def percentiles(
     values are counted first (a shuffle on key and value, so a hot group spreads
     over its values), the counts are added up in value order, and the two values
     around each wanted rank are read off.  ``approx`` uses the mergeable sketch.
+    ``beside`` are further aggregates to report with the percentiles.
     """
     by = list(by)
+    more = [c.alias(n) for n, c in (beside or {}).items()]
     if approx:
-        return df.groupBy(*by).agg(*[F.percentile_approx(col, p, 10_000).alias(n) for n, p in wanted.items()])
+        return df.groupBy(*by).agg(*more, *[F.percentile_approx(col, p, 10_000).alias(n) for n, p in wanted.items()])
     if hot_groups(df, by, max_rows) is None:
-        return df.groupBy(*by).agg(*[F.percentile(col, F.lit(p)).alias(n) for n, p in wanted.items()])
+        return df.groupBy(*by).agg(*more, *[F.percentile(col, F.lit(p)).alias(n) for n, p in wanted.items()])
     counts = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
     upto = running(counts, by, order_of(col), {"_upto": ("sum", "_c")}, max_rows=max_rows)
     sized = over_group(upto, by, {"_all": F.sum("_c")}, max_rows)
@@ -36,10 +38,14 @@ def percentiles(
         *[F.min(F.when(F.col("_upto") >= F.floor(s) + 1, F.col(col))).alias(f"_lo_{n}") for n, s in spot.items()],
         *[F.min(F.when(F.col("_upto") >= F.ceil(s) + 1, F.col(col))).alias(f"_hi_{n}") for n, s in spot.items()],
     )
-    return ends.select(
+    exact = ends.select(
         *by,
         *[
             (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (s - F.floor(s))).alias(n)
             for n, s in spot.items()
         ],
     )
+    if not by:
+        return with_scalars(df.agg(*more), exact) if more else exact
+    # Groups with only NULL values are absent from the counts.
+    return join_keys(df.groupBy(*by).agg(*(more or [F.first(F.lit(1)).alias("_one")])), exact, by).drop("_one")

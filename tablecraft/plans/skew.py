@@ -24,12 +24,14 @@ MAX_SALTS = 1_000
 HOT = "_hot_rows"
 
 
-def hot_groups(df: DataFrame, by: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
+def hot_groups(df: DataFrame, by: Sequence[str], max_rows: int | None = MAX_ROWS) -> DataFrame | None:
     """The groups with more than ``max_rows`` rows and their sizes, or None.
 
-    One aggregation with map-side combine over the key columns only; the result
+    ``max_rows=None`` states that the groups are known to be small.  One aggregation with map-side combine over the key columns only; the result
     comes back as a local relation of at most ``MAX_HOT`` rows.
     """
+    if max_rows is None:
+        return None
     spark = df.sparkSession
     if not by:
         rows = df.count()
@@ -48,9 +50,9 @@ def hot_groups(df: DataFrame, by: Sequence[str], max_rows: int = MAX_ROWS) -> Da
     return spark.createDataFrame(found, T.StructType(fields))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on every key, so a NULL key is a group like any other."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def checked(df: DataFrame, by: Sequence[str], max_rows: int | None) -> int | None:
+    """None when no group is hot, for operators that take several ordered steps."""
+    return max_rows if hot_groups(df, by, max_rows) is not None else None
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -73,7 +75,7 @@ def attach(
     per_key: DataFrame,
     by: Sequence[str],
     how: str = "left",
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = MAX_ROWS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a table with one row per key to every row of that key.
@@ -105,7 +107,7 @@ def attach(
 
 
 def over_group(
-    df: DataFrame, by: Sequence[str], aggs: dict[str, Column], max_rows: int = MAX_ROWS
+    df: DataFrame, by: Sequence[str], aggs: dict[str, Column], max_rows: int | None = MAX_ROWS
 ) -> DataFrame:
     """Group aggregates beside each row.
 
