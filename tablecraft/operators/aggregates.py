@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.plans.ordered import order_of, ranked
 from tablecraft.plans.quantiles import percentiles
-from tablecraft.plans.skew import MAX_ROWS, with_scalars
+from tablecraft.plans.skew import MAX_ROWS, Limit, with_scalars
 
 
 def group_agg(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
@@ -130,7 +130,7 @@ def string_agg(
 
 def string_agg_parts(
     df: DataFrame, keys: Sequence[str], col: str, order: Sequence[str], part_rows: int, sep: str = ", ",
-    out: str = "listed", max_rows: int | None = MAX_ROWS,
+    out: str = "listed", max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """The same text in numbered parts of at most ``part_rows`` values each."""
     rows = df.filter(F.col(col).isNotNull())
@@ -168,7 +168,7 @@ def cube_by_rollups(df: DataFrame, keys: Sequence[str], aggs: str) -> DataFrame:
 
 
 def percentile_by(
-    df: DataFrame, keys: Sequence[str], col: str, wanted: dict[str, float], approx: bool = False, max_rows: int | None = MAX_ROWS
+    df: DataFrame, keys: Sequence[str], col: str, wanted: dict[str, float], approx: bool = False, max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     return percentiles(df, keys, col, wanted, approx, max_rows)
 

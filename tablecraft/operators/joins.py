@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions.exprs import seconds_between
 from tablecraft.plans.ordered import last_known, next_known, order_of, running
-from tablecraft.plans.skew import MAX_ROWS, attach, join_keys, over_group, with_scalars
+from tablecraft.plans.skew import MAX_ROWS, Limit, attach, find_hot, over_group, with_scalars
 
 
 def join_chain(first: DataFrame, *steps: tuple[DataFrame, str, str], how: str = "inner") -> DataFrame:
@@ -61,7 +61,7 @@ def _extreme_rows(df: DataFrame, ids: Sequence[str], ts: str, pick, max_rows: in
     return best.filter(keep).drop("_best")
 
 
-def latest_by_anti(df: DataFrame, ids: Sequence[str], ts: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def latest_by_anti(df: DataFrame, ids: Sequence[str], ts: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """Rows with no later row of the same id; ties stay.
 
     Same rows as the self anti join on ``t2.ts > t1.ts``, from one maximum per
@@ -70,7 +70,7 @@ def latest_by_anti(df: DataFrame, ids: Sequence[str], ts: str, max_rows: int | N
     return _extreme_rows(df, ids, ts, F.max, max_rows)
 
 
-def first_rows(df: DataFrame, ids: Sequence[str], ts: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def first_rows(df: DataFrame, ids: Sequence[str], ts: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """Rows with no earlier row of the same id (NOT EXISTS); ties stay."""
     return _extreme_rows(df, ids, ts, F.min, max_rows)
 
@@ -200,7 +200,7 @@ def _overlaps(spans: DataFrame, by: Sequence[str], start: str, end: str, out: st
 
 
 def overlap_counts(
-    df: DataFrame, id_: str, start: str, end: str, out: str = "n_overlaps", max_rows: int | None = MAX_ROWS
+    df: DataFrame, id_: str, start: str, end: str, out: str = "n_overlaps", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """How many spans of other ids each span overlaps (ends inclusive)."""
     everyone = _overlaps(df, [], start, end, "_all", max_rows)
@@ -208,7 +208,7 @@ def overlap_counts(
     return own.withColumn(out, F.col("_all") - F.col("_own")).drop("_all", "_own")
 
 
-def overlap_flag(df: DataFrame, id_: str, start: str, end: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def overlap_flag(df: DataFrame, id_: str, start: str, end: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """1 for ids with a span that overlaps some other id's span."""
     counts = overlap_counts(df, id_, start, end, "_n", max_rows)
     return counts.groupBy(id_).agg(F.max((F.col("_n") > 0).cast("int")).alias("overlap"))
@@ -263,7 +263,7 @@ def _one_per_time(right: DataFrame, ts: str, by: Sequence[str], tie: str | None,
 
 def asof_join(
     left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, cols: Sequence[str],
-    by: Sequence[str] = (), tie: str | None = None, lag: str = "seconds_lag", max_rows: int | None = MAX_ROWS,
+    by: Sequence[str] = (), tie: str | None = None, lag: str = "seconds_lag", max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Latest right row at or before each left row; NULLs where there is none.
 
@@ -285,7 +285,7 @@ def asof_join(
 
 def nearest_within(
     left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, id_: str, cols: Sequence[str],
-    seconds: float, by: Sequence[str] = (), max_rows: int | None = MAX_ROWS,
+    seconds: float, by: Sequence[str] = (), max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Closest right row within ``seconds`` on either side; NULLs where none.
 
@@ -298,8 +298,9 @@ def nearest_within(
     single = _one_per_time(right, right_ts, by, id_, F.min)
     line = _timeline(left, single, left_ts, right_ts, by, list(dict.fromkeys([*cols, right_ts])))
     line = line.withColumn("_ahead", F.col("_found"))
-    seen = last_known(line, by, order_of("_t", "_side"), {"_found": "_found"}, max_rows=max_rows)
-    seen = next_known(seen, by, order_of("_t", "_side"), {"_ahead": "_ahead"}, max_rows=max_rows)
+    hot = find_hot(line, by, max_rows)
+    seen = last_known(line, by, order_of("_t", "_side"), {"_found": "_found"}, max_rows=hot)
+    seen = next_known(seen, by, order_of("_t", "_side"), {"_ahead": "_ahead"}, max_rows=hot)
     back = seconds_between(F.col("_t"), F.col(f"_found.{right_ts}"))
     ahead = seconds_between(F.col(f"_ahead.{right_ts}"), F.col("_t"))
     options = F.array(
@@ -340,6 +341,3 @@ def multi_fact_rollup(
     for c in measures:
         nonzero = nonzero | (F.col(c) != 0)
     return sums.filter(nonzero)
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "join_keys")]

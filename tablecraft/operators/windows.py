@@ -19,26 +19,26 @@ from tablecraft.plans.ordered import (
     framed, last_known, next_known, order_of, ranked, running, tiles, time_framed,
 )
 from tablecraft.plans.quantiles import percentiles
-from tablecraft.plans.skew import MAX_ROWS, attach, checked, over_group
+from tablecraft.plans.skew import MAX_ROWS, Limit, attach, find_hot, over_group
 
 
 def rank_all(
-    df: DataFrame, order: Sequence[str], tie: Sequence[str], by: Sequence[str] = (), max_rows: int | None = MAX_ROWS
+    df: DataFrame, order: Sequence[str], tie: Sequence[str], by: Sequence[str] = (), max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """ROW_NUMBER (ties broken by ``tie``), RANK and DENSE_RANK beside each row."""
-    limit = checked(df, by, max_rows)
+    limit = find_hot(df, by, max_rows)
     ranks = ranked(df, by, order_of(*order), rank="rank", dense_rank="dense_rank", max_rows=limit)
     return ranked(ranks, by, order_of(*order, *tie), row_number="row_number", max_rows=limit)
 
 
 def dense_rank_by(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "dense_rank", max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "dense_rank", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     return ranked(df, by, order_of(*order), dense_rank=out, max_rows=max_rows)
 
 
 def rank_of_agg(
-    df: DataFrame, keys: Sequence[str], value: Column, out: str = "ranking", max_rows: int | None = MAX_ROWS
+    df: DataFrame, keys: Sequence[str], value: Column, out: str = "ranking", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Rank of groups by an aggregate, largest first."""
     totals = df.groupBy(*keys).agg(value.alias("_v"))
@@ -58,7 +58,7 @@ def top_n_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, o
 
 
 def number_rows(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "rn", max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "rn", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     return ranked(df, by, order_of(*order), row_number=out, max_rows=max_rows)
 
@@ -71,7 +71,7 @@ def top_n_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, o
 
 def decile(
     df: DataFrame, order: Sequence[str], n: int = 10, out: str = "decile", by: Sequence[str] = (),
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """NTILE over the whole table or per group."""
     return tiles(df, list(by), order_of(*order), n, out, max_rows)
@@ -87,7 +87,7 @@ def decile_approx(df: DataFrame, col: str, n: int = 10, out: str = "decile", err
 
 def lag_features(
     df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, steps: Sequence[int], prefix: str = "prev",
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Earlier values of a column as ``prefix_1``, ``prefix_2``, ..."""
     return framed(
@@ -98,7 +98,7 @@ def lag_features(
 
 def lead_features(
     df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, steps: Sequence[int], prefix: str = "next",
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     return framed(
         df, by, order_of(*order), 0, max(steps),
@@ -107,7 +107,7 @@ def lead_features(
 
 
 def pct_change(
-    df: DataFrame, order: Sequence[str], col: str, by: Sequence[str] = (), max_rows: int | None = MAX_ROWS
+    df: DataFrame, order: Sequence[str], col: str, by: Sequence[str] = (), max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Change against the row before and of the row after, as ratios."""
     value = F.col(col)
@@ -126,7 +126,7 @@ def pct_change(
 
 def days_between_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[str], ts: str, extra: Sequence[str] = (),
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Days since the previous row of the group, with its date and other columns."""
 
@@ -138,7 +138,7 @@ def days_between_rows(
 
 
 def first_last_value(
-    df: DataFrame, order: str, col: str, by: Sequence[str] = (), max_rows: int | None = MAX_ROWS
+    df: DataFrame, order: str, col: str, by: Sequence[str] = (), max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """First and last value of the whole group beside each row (full frame)."""
     return over_group(
@@ -147,20 +147,20 @@ def first_last_value(
 
 
 def avg_over(
-    df: DataFrame, by: Sequence[str], col: str, out: str = "average", max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], col: str, out: str = "average", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Group average beside each row; the whole table when ``by`` is empty."""
     return over_group(df, by, {out: F.avg(col)}, max_rows)
 
 
-def avg_of_sum(df: DataFrame, keys: Sequence[str], part: Sequence[str], col: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def avg_of_sum(df: DataFrame, keys: Sequence[str], part: Sequence[str], col: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """Totals per key and the average of those totals in each partition."""
     totals = df.groupBy(*keys).agg(F.sum(col).alias("total"))
     return over_group(totals, part, {"average_total": F.avg("total")}, max_rows)
 
 
 def pct_of_total(
-    df: DataFrame, part: Sequence[str], keys: Sequence[str], max_rows: int | None = MAX_ROWS
+    df: DataFrame, part: Sequence[str], keys: Sequence[str], max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Row counts per key and their share of the partition's rows."""
     counts = df.groupBy(*part, *keys).agg(F.count(F.lit(1)).alias("n"))
@@ -170,7 +170,7 @@ def pct_of_total(
 
 def running_total_range(
     df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, out: str = "running_total",
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Running sum with the default frame: rows that tie share one total."""
     return running(df, by, order_of(*order), {out: ("sum", col)}, "range", max_rows=max_rows)
@@ -178,7 +178,7 @@ def running_total_range(
 
 def running_total_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, out: str = "running_total",
-    unknown: str | None = None, max_rows: int | None = MAX_ROWS,
+    unknown: str | None = None, max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Running sum row by row; with ``unknown``, NULL text keys get that name."""
     if unknown is not None:
@@ -187,7 +187,7 @@ def running_total_rows(
 
 
 def daily_then_cumulative(
-    df: DataFrame, by: Sequence[str], ts: str, col: str, max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], ts: str, col: str, max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Sum per day first, then the running total over the days."""
     days = df.groupBy(*by, F.to_date(ts).alias("day")).agg(F.sum(col).alias("day_total"))
@@ -196,7 +196,7 @@ def daily_then_cumulative(
 
 def moving_avg(
     df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, before: int, after: int,
-    out: str = "moving_avg", max_rows: int | None = MAX_ROWS,
+    out: str = "moving_avg", max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Average over ``before`` rows back to ``after`` rows ahead."""
     return framed(
@@ -207,7 +207,7 @@ def moving_avg(
 
 def rolling_sum_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, before: int, out: str = "rolling_rows",
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     return framed(
         df, by, order_of(*order), before, 0,
@@ -217,17 +217,17 @@ def rolling_sum_rows(
 
 def rolling_sum_time(
     df: DataFrame, by: Sequence[str], ts: str, col: str, seconds: int, out: str = "rolling_time",
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Sum over the last ``seconds`` of time, peers included."""
     return time_framed(df, by, ts, seconds, lambda w: {out: F.sum(col).over(w)}, max_rows)
 
 
 def event_distance(
-    df: DataFrame, by: Sequence[str], ts: str, event: Column, max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], ts: str, event: Column, max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Times of the last event (this row included) and the next one, and the seconds to them."""
-    limit = checked(df, by, max_rows)
+    limit = find_hot(df, by, max_rows)
     at = F.when(event, F.col(ts))
     seen = last_known(df, by, order_of(ts), {"last_event_ts": at}, max_rows=limit)
     both = next_known(seen, by, order_of(ts), {"next_event_ts": at}, max_rows=limit)
@@ -240,10 +240,10 @@ def event_distance(
 
 
 def median_over(
-    df: DataFrame, by: Sequence[str], col: str, out: str = "median", max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], col: str, out: str = "median", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Interpolated median of the group beside each row."""
-    limit = checked(df, by, max_rows)
+    limit = find_hot(df, by, max_rows)
     return attach(df, percentiles(df, by, col, {out: 0.5}, max_rows=limit), by, "left", limit)
 
 

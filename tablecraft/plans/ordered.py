@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
-from tablecraft.plans.skew import HOT, MAX_ROWS, hot_groups, join_keys, mark_hot, with_scalars
+from tablecraft.plans.skew import (
+    HOT, MAX_ROWS, Hot, Limit, find_hot, join_keys, mark_hot, over_group, with_scalars,
+)
 
 PIECE = "_piece"
 POS = "_pos"
@@ -75,39 +77,36 @@ def _cuts(hot_rows: DataFrame, max_rows: int) -> list[float]:
 
 
 def cut(
-    df: DataFrame, by: Sequence[str], order: Order, max_rows: int | None = MAX_ROWS
-) -> tuple[DataFrame, list[float]] | None:
+    df: DataFrame, by: Sequence[str], order: Order, max_rows: Limit = MAX_ROWS
+) -> tuple[DataFrame, Hot, list[float]] | None:
     """Rows with their piece number, hot groups cut along the first order column.
 
     Returns None when no group is hot.  Rows that tie on the first order column
     are never separated, pieces are numbered in the order of the rows, and rows
     of other groups are all in piece 0.
     """
-    hot = hot_groups(df, by, max_rows)
+    hot = find_hot(df, by, max_rows)
     if hot is None:
         return None
     name, up = order[0]
-    number = as_number(df, name) if up else -as_number(df, name)
-    rows = mark_hot(df, by, hot).withColumn(POS, number)
-    cuts = _cuts(rows.filter(F.col(HOT).isNotNull() & F.col(POS).isNotNull()), max_rows)
-    return _number_pieces(rows, cuts, up), cuts
-
-
-def _number_pieces(rows: DataFrame, cuts: list[float], nulls_first: bool, pos: str = POS, out: str = PIECE):
-    if cuts:
-        find = Bucketizer(
-            splits=[-math.inf, *cuts, math.inf], inputCol="_bin_in", outputCol="_bin_out", handleInvalid="keep"
-        )
-        rows = find.transform(rows.withColumn("_bin_in", F.coalesce(F.col(pos), F.lit(0.0))))
-    else:
-        rows = rows.withColumn("_bin_out", F.lit(0.0)).withColumn("_bin_in", F.lit(0.0))
-    null_piece = -1 if nulls_first else len(cuts) + 2
-    return rows.withColumn(
-        out,
-        F.when(F.col(HOT).isNull(), 0)
-        .when(F.col(pos).isNull(), null_piece)
-        .otherwise(F.col("_bin_out").cast("int")),
-    ).drop("_bin_in", "_bin_out")
+    rows = mark_hot(df, by, hot).withColumn(POS, as_number(df, name))
+    if name not in hot.cuts:
+        hot.cuts[name] = _cuts(rows.filter(F.col(HOT).isNotNull() & F.col(POS).isNotNull()), hot.max_rows)
+    cuts = hot.cuts[name]
+    bucket = _bucket(rows, POS, cuts, "_bucket")
+    place = F.col("_bucket") if up else -F.col("_bucket")
+    # NULLs come first when rising and last when falling
+    piece = F.when(F.col(HOT).isNull(), 0).when(F.col(POS).isNull(), F.lit(-1 if up else 1)).otherwise(place)
+    return bucket.withColumn(PIECE, piece).drop("_bucket"), hot, cuts
+
+
+def _bucket(rows: DataFrame, pos: str, cuts: list[float], out: str) -> DataFrame:
+    """Index of the interval between cuts that holds the position."""
+    if not cuts:
+        return rows.withColumn(out, F.lit(0))
+    find = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_bin_in", outputCol="_bin_out", handleInvalid="keep")
+    placed = find.transform(rows.withColumn("_bin_in", F.coalesce(F.col(pos), F.lit(0.0))))
+    return placed.withColumn(out, F.col("_bin_out").cast("int")).drop("_bin_in", "_bin_out")
 
 
 def _piece_summary(rows: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
@@ -147,7 +146,7 @@ def running(
     aggs: dict[str, tuple[str, str | Column]],
     frame: str = "rows",
     current: bool = True,
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Running ``sum``, ``count``, ``min``, ``max`` or ``last`` (non-null) values.
 
@@ -204,7 +203,7 @@ def _rank_key(df: DataFrame, order: Order) -> list[Column]:
 
 def last_known(
     df: DataFrame, by: Sequence[str], order: Order, cols: dict[str, str | Column],
-    current: bool = True, max_rows: int | None = MAX_ROWS,
+    current: bool = True, max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Latest non-null value at or before each row."""
     return running(df, by, order, {o: ("last", c) for o, c in cols.items()}, "rows", current, max_rows)
@@ -212,7 +211,7 @@ def last_known(
 
 def next_known(
     df: DataFrame, by: Sequence[str], order: Order, cols: dict[str, str | Column],
-    current: bool = False, max_rows: int | None = MAX_ROWS,
+    current: bool = False, max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Earliest non-null value after (or at) each row."""
     return running(df, by, _reverse(order), {o: ("last", c) for o, c in cols.items()}, "rows", current, max_rows)
@@ -225,7 +224,7 @@ def ranked(
     row_number: str | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Row numbers and ranks over whole groups."""
     by = list(by)
@@ -266,7 +265,7 @@ def framed(
     before: int,
     after: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` ahead.
 
@@ -274,10 +273,11 @@ def framed(
     columns to add, for example ``lag`` or an average over a row frame.
     """
     by = list(by)
-    if hot_groups(df, by, max_rows) is None:
+    hot = find_hot(df, by, max_rows)
+    if hot is None:
         return df.withColumns(columns(W.partitionBy(*by).orderBy(*_sort(order))))
-    size = max(max_rows, before + after + 1)
-    numbered = ranked(df, by, order, row_number="_rn", max_rows=max_rows)
+    size = max(hot.max_rows, before + after + 1)
+    numbered = ranked(df, by, order, row_number="_rn", max_rows=hot)
     at = F.pmod(F.col("_rn") - 1, F.lit(size))
     home = F.floor((F.col("_rn") - 1) / size)
     spots = F.array(
@@ -300,7 +300,7 @@ def time_framed(
     ts: str,
     seconds: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    max_rows: int | None = MAX_ROWS,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Window columns over all rows of the last ``seconds`` up to the current row.
 
@@ -313,21 +313,21 @@ def time_framed(
     if done is None:
         w = W.partitionBy(*by).orderBy("_us").rangeBetween(-reach, 0)
         return micros.withColumns(columns(w)).drop("_us")
-    rows, cuts = done
-    ahead = _number_pieces(rows.withColumn("_reach", F.col(POS) + reach), cuts, True, "_reach", "_until")
-    copies = ahead.withColumn("_at", F.explode(F.sequence(F.col(PIECE), F.col("_until"))))
+    rows, _, cuts = done
+    ahead = _bucket(rows.withColumn("_reach", F.col(POS) + reach), "_reach", cuts, "_until")
+    last = F.when(F.col(HOT).isNull() | F.col(POS).isNull(), F.col(PIECE)).otherwise(F.col("_until"))
+    copies = ahead.withColumn("_at", F.explode(F.sequence(F.col(PIECE), last)))
     w = W.partitionBy(*by, "_at").orderBy("_us").rangeBetween(-reach, 0)
     wide = copies.withColumns(columns(w))
     return wide.filter(F.col("_at") == F.col(PIECE)).drop("_us", "_at", "_until", "_reach", PIECE, POS, HOT)
 
 
-def tiles(df: DataFrame, by: Sequence[str], order: Order, n: int, out: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def tiles(df: DataFrame, by: Sequence[str], order: Order, n: int, out: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """NTILE from the row number and the group size."""
-    from tablecraft.plans.skew import over_group
-
-    numbered = ranked(df, by, order, row_number="_rn", max_rows=max_rows)
+    hot = find_hot(df, by, max_rows)
+    numbered = ranked(df, by, order, row_number="_rn", max_rows=hot)
     if by:
-        sized = over_group(numbered, by, {"_n": F.count(F.lit(1))}, max_rows)
+        sized = over_group(numbered, by, {"_n": F.count(F.lit(1))}, hot)
     else:
         sized = with_scalars(numbered, df.agg(F.count(F.lit(1)).alias("_n")))
     small = F.floor(F.col("_n") / n)

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.plans.ordered import order_of, running
-from tablecraft.plans.skew import MAX_ROWS, hot_groups, join_keys, over_group, with_scalars
+from tablecraft.plans.skew import MAX_ROWS, Limit, find_hot, join_keys, over_group, with_scalars
 
 
 def percentiles(
     df: DataFrame, by: Sequence[str], col: str, wanted: dict[str, float],
-    approx: bool = False, max_rows: int | None = MAX_ROWS, beside: dict[str, Column] | None = None,
+    approx: bool = False, max_rows: Limit = MAX_ROWS, beside: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group with interpolated percentiles; NULL values are ignored.
 
@@ -27,11 +27,12 @@ def percentiles(
     more = [c.alias(n) for n, c in (beside or {}).items()]
     if approx:
         return df.groupBy(*by).agg(*more, *[F.percentile_approx(col, p, 10_000).alias(n) for n, p in wanted.items()])
-    if hot_groups(df, by, max_rows) is None:
+    hot = find_hot(df, by, max_rows)
+    if hot is None:
         return df.groupBy(*by).agg(*more, *[F.percentile(col, F.lit(p)).alias(n) for n, p in wanted.items()])
     counts = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
-    upto = running(counts, by, order_of(col), {"_upto": ("sum", "_c")}, max_rows=max_rows)
-    sized = over_group(upto, by, {"_all": F.sum("_c")}, max_rows)
+    upto = running(counts, by, order_of(col), {"_upto": ("sum", "_c")}, max_rows=hot.max_rows)
+    sized = over_group(upto, by, {"_all": F.sum("_c")}, hot.max_rows)
     spot = {n: (F.col("_all") - 1) * F.lit(p) for n, p in wanted.items()}
     ends = sized.groupBy(*by).agg(
         F.max("_all").alias("_all"),

@@ -48,5 +48,15 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
-    """Round double columns, so that the order of summation cannot show."""
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in cols})
+    """Round double columns half away from zero, so that the last bits cannot show.
+
+    Scaled and rounded in doubles, as the SQL side does; Spark's own ``round``
+    works on the decimal text and differs on values just beside a half.
+    """
+    scale = float(10**digits)
+
+    def one(c: str):
+        value = F.col(c).cast("double")
+        return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+
+    return df.withColumns({c: one(c) for c in cols})

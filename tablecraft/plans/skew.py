@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,22 +25,35 @@ MAX_SALTS = 1_000
 HOT = "_hot_rows"
 
 
-def hot_groups(df: DataFrame, by: Sequence[str], max_rows: int | None = MAX_ROWS) -> DataFrame | None:
-    """The groups with more than ``max_rows`` rows and their sizes, or None.
+@dataclass
+class Hot:
+    """What one look at the group sizes found, for operators that take several steps."""
 
-    ``max_rows=None`` states that the groups are known to be small.  One aggregation with map-side combine over the key columns only; the result
+    groups: DataFrame
+    max_rows: int
+    cuts: dict[str, list[float]] = field(default_factory=dict)
+
+
+# A row limit to look for; None when groups are known to be small; or what was found.
+Limit = int | None | Hot
+
+
+def find_hot(df: DataFrame, by: Sequence[str], limit: Limit = MAX_ROWS) -> Hot | None:
+    """The groups with more rows than the limit and their sizes, or None.
+
+    One aggregation with map-side combine over the key columns only; the result
     comes back as a local relation of at most ``MAX_HOT`` rows.
     """
-    if max_rows is None:
-        return None
+    if limit is None or isinstance(limit, Hot):
+        return limit
     spark = df.sparkSession
     if not by:
         rows = df.count()
-        return spark.createDataFrame([(rows,)], f"{HOT} long") if rows > max_rows else None
+        return Hot(spark.createDataFrame([(rows,)], f"{HOT} long"), limit) if rows > limit else None
     sizes = (
         df.groupBy(*by)
         .agg(F.count(F.lit(1)).alias(HOT))
-        .filter(F.col(HOT) > max_rows)
+        .filter(F.col(HOT) > limit)
         .orderBy(F.desc(HOT))
         .limit(MAX_HOT)
     )
@@ -47,12 +61,7 @@ def hot_groups(df: DataFrame, by: Sequence[str], max_rows: int | None = MAX_ROWS
     if not found:
         return None
     fields = [T.StructField(f.name, f.dataType, True) for f in sizes.schema.fields]
-    return spark.createDataFrame(found, T.StructType(fields))
-
-
-def checked(df: DataFrame, by: Sequence[str], max_rows: int | None) -> int | None:
-    """None when no group is hot, for operators that take several ordered steps."""
-    return max_rows if hot_groups(df, by, max_rows) is not None else None
+    return Hot(spark.createDataFrame(found, T.StructType(fields)), limit)
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -62,12 +71,12 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(named, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def mark_hot(df: DataFrame, by: Sequence[str], hot: DataFrame) -> DataFrame:
+def mark_hot(df: DataFrame, by: Sequence[str], hot: Hot) -> DataFrame:
     """Add the size of the row's group for hot groups, NULL for the others."""
     if not by:
-        return df.withColumn(HOT, F.lit(hot.first()[0]).cast("long"))
-    # at most MAX_HOT rows, see hot_groups
-    return join_keys(df, F.broadcast(hot), by, "left")
+        return df.withColumn(HOT, F.lit(hot.groups.first()[0]).cast("long"))
+    # at most MAX_HOT rows, see find_hot
+    return join_keys(df, F.broadcast(hot.groups), by, "left")
 
 
 def attach(
@@ -75,8 +84,7 @@ def attach(
     per_key: DataFrame,
     by: Sequence[str],
     how: str = "left",
-    max_rows: int | None = MAX_ROWS,
-    hot: DataFrame | None = None,
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Join a table with one row per key to every row of that key.
 
@@ -84,11 +92,11 @@ def attach(
     so no task receives a whole hot group.  Without hot keys it is a plain join,
     and AQE broadcasts the key side when its measured size allows.
     """
-    hot = hot if hot is not None else hot_groups(df, by, max_rows)
+    hot = find_hot(df, by, max_rows)
     if hot is None:
         return join_keys(df, per_key, by, how)
-    largest = hot.agg(F.max(HOT)).first()[0]
-    salts = min(MAX_SALTS, math.ceil(largest / max_rows))
+    largest = hot.groups.agg(F.max(HOT)).first()[0]
+    salts = min(MAX_SALTS, math.ceil(largest / hot.max_rows))
     rows = mark_hot(df, by, hot).withColumn(
         "_salt",
         F.when(F.col(HOT).isNull(), 0).otherwise(
@@ -107,7 +115,7 @@ def attach(
 
 
 def over_group(
-    df: DataFrame, by: Sequence[str], aggs: dict[str, Column], max_rows: int | None = MAX_ROWS
+    df: DataFrame, by: Sequence[str], aggs: dict[str, Column], max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Group aggregates beside each row.
 
@@ -116,12 +124,12 @@ def over_group(
     """
     if not by:
         return with_scalars(df, df.agg(*[c.alias(n) for n, c in aggs.items()]))
-    hot = hot_groups(df, by, max_rows)
+    hot = find_hot(df, by, max_rows)
     if hot is None:
         w = W.partitionBy(*by)
         return df.withColumns({n: c.over(w) for n, c in aggs.items()})
     per_key = df.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
-    return attach(df, per_key, by, "left", max_rows, hot)
+    return attach(df, per_key, by, "left", hot)
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -304,7 +304,7 @@ FRAMES = {"back_2": (2, 0), "ahead_2": (0, 2), "around_2": (2, 2), "back_6": (6,
     "wn17_moving_avg",
     "SELECT event_id, "
     + ", ".join(
-        f"round(avg(value) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN {b} PRECEDING AND {a} FOLLOWING), 4) AS {n}"
+        f"round(avg(value) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN {b} PRECEDING AND {a} FOLLOWING), 6) AS {n}"
         for n, (b, a) in FRAMES.items()
     )
     + " FROM events",
@@ -313,7 +313,7 @@ def moving_avg(t):
     out = t.events.select("event_id", "user_id", "ts", "value")
     for name, (before, after) in FRAMES.items():
         out = V.moving_avg(out, ["user_id"], ["ts"], "value", before, after, name)
-    return rounded(out, 4, *FRAMES).drop("user_id", "ts", "value")
+    return rounded(out, 6, *FRAMES).drop("user_id", "ts", "value")
 
 
 @query(
