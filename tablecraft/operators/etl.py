@@ -214,12 +214,14 @@ def latest_per_key(source: DataFrame, keys: Sequence[str], newest: Sequence[str]
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], newest: Sequence[str] = ()
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], newest: Sequence[str] = (),
+    if_newer: str | None = None,
 ) -> DataFrame:
     """Matched rows take the source's ``update`` columns, unmatched rows are added.
 
     A full outer join on the keys; a repeated run gives the same table.  With
-    ``newest``, only the newest source row of each key is used.
+    ``newest``, only the newest source row of each key is used; with ``if_newer``,
+    a matched row is left alone when its own value of that column is later.
     """
     if newest:
         source = latest_per_key(source, keys, newest)
@@ -227,11 +229,15 @@ def upsert(
     new = source.withColumnsRenamed({c: f"_n_{c}" for c in source.columns if c not in keys}).withColumn("_new", F.lit(True))
     both = old.join(new, list(keys), "full_outer")
 
+    take = F.col("_new")
+    if if_newer:
+        take = take & ~F.coalesce(F.col(if_newer) > F.col(f"_n_{if_newer}"), F.lit(False))
+
     def value(c: str) -> Column:
         if c in keys or c not in source.columns:
             return F.col(c)
         if c in update:
-            return F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
+            return F.when(take, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
         return F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_n_{c}")).alias(c)
 
     return both.select(*[value(c) for c in target.columns])

@@ -1 +1,97 @@
-"""Registered queries."""
+"""Registered queries: trees, combinations, paths."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablecraft.operators import hierarchy as H
+from tablecraft.plans.registry import query
+
+
+def _staff(t):
+    """Part keys as a staff tree: everyone leads up to three others."""
+    return t.part.select(
+        F.col("p_partkey").alias("name"), F.expr("CASE WHEN p_partkey > 0 THEN (p_partkey - 1) div 3 END").alias("manager"), "p_brand"
+    )
+
+
+STAFF = "staff AS (SELECT p_partkey AS name, CASE WHEN p_partkey > 0 THEN (p_partkey - 1) // 3 END AS manager, p_brand FROM part)"
+
+
+@query(
+    "rc1_descendants",
+    f"""
+    WITH RECURSIVE {STAFF}, d AS (
+      SELECT name, manager, 1 AS generation, CAST(name AS VARCHAR) AS path FROM staff WHERE name = 0
+      UNION ALL SELECT e.name, e.manager, d.generation + 1, d.path || '>' || e.name FROM staff e JOIN d ON e.manager = d.name
+      WHERE position('>' || e.name || '>' IN '>' || d.path || '>') = 0)
+    SELECT name, manager, CAST(generation AS INTEGER) AS generation, path FROM d
+    """,
+)
+def descendants(t):
+    return H.descendants(_staff(t), "name", "manager", 0)
+
+
+@query(
+    "rc2_hierarchy_levels",
+    f"""
+    WITH RECURSIVE {STAFF}, h AS (
+      SELECT name, manager, p_brand, 1 AS level FROM staff WHERE manager IS NULL
+      UNION ALL SELECT s.name, s.manager, s.p_brand, h.level + 1 FROM staff s JOIN h ON s.manager = h.name)
+    SELECT name, manager, p_brand, CAST(level AS INTEGER) AS level FROM h
+    """,
+)
+def hierarchy_levels(t):
+    return H.hierarchy_levels(_staff(t), "name", "manager", F.lit(True))
+
+
+@query(
+    "rc3_combos",
+    """
+    WITH RECURSIVE items AS (SELECT p_brand AS item_name, min(p_partkey) AS item_id FROM part GROUP BY p_brand),
+    c AS (SELECT item_id, item_name, 1 AS depth, item_name AS combo FROM items
+          UNION ALL SELECT c.item_id, i.item_name, c.depth + 1, c.combo || ', ' || i.item_name FROM c JOIN items i ON c.depth < 3)
+    SELECT item_id, item_name, CAST(depth AS INTEGER) AS depth, combo FROM c
+    """,
+)
+def combos(t):
+    items = t.part.groupBy(F.col("p_brand").alias("item_name")).agg(F.min("p_partkey").alias("item_id"))
+    return H.combos(items, "item_id", "item_name", 3)
+
+
+LANES = """
+  lanes AS (SELECT * FROM (
+    SELECT c_nationkey AS a, s_nationkey AS b, count(*) AS cost, rank() OVER (PARTITION BY c_nationkey ORDER BY count(*), s_nationkey) AS r
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+    WHERE c_nationkey <> s_nationkey GROUP BY 1, 2) WHERE r <= 3)
+"""
+
+
+def _lanes(t):
+    """The three least used lanes out of each nation; a lane costs its line count."""
+    from tablecraft.operators.windows import top_n_rank
+
+    buyers = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    lines = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nationkey")
+    used = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).filter("c_nationkey <> s_nationkey")
+    costs = used.groupBy(F.col("c_nationkey").alias("a"), F.col("s_nationkey").alias("b")).agg(F.count("*").alias("cost"))
+    return top_n_rank(costs, ["a"], ["cost", "b"], 3).drop("rank")
+
+
+@query(
+    "rc4_cheapest_paths",
+    f"""
+    WITH RECURSIVE {LANES}, w AS (
+      SELECT 0 AS hub, CAST(0 AS BIGINT) AS total, 0 AS hops
+      UNION ALL SELECT hub, total, hops FROM (
+        SELECT b AS hub, min(total + cost) AS total, max(hops) + 1 AS hops FROM w JOIN lanes ON hub = a WHERE hops < 24 GROUP BY b))
+    SELECT CAST(hub AS INTEGER) AS hub, min(total) AS total_cost FROM w GROUP BY hub
+    """,
+)
+def cheapest_paths(t):
+    return H.cheapest_paths(_lanes(t), "a", "b", "cost", 0).drop("path")
+
+
+@query("rc4_cheapest_path")
+def cheapest_path(t):
+    return H.cheapest_path(_lanes(t), "a", "b", "cost", 0, 24)
