@@ -172,15 +172,19 @@ def with_params(df: DataFrame, params: dict | DataFrame) -> DataFrame:
     return with_scalars(df, params)
 
 
-def _overlaps(spans: DataFrame, by: Sequence[str], start: str, end: str, out: str, max_rows: int) -> DataFrame:
-    """Number of spans of the same group (itself included) each span touches.
+def overlap_counts(
+    df: DataFrame, id_: str, start: str, end: str, out: str = "n_overlaps", max_rows: Limit = MAX_ROWS
+) -> DataFrame:
+    """How many spans of other ids each span overlaps (ends inclusive).
 
     A span misses another only if that one starts after it ends or ends before
-    it starts, so two counts along the time line are enough; no pairs are made.
+    it starts.  So the spans it touches are the starts up to its end less the
+    ends before its start: two counts along the time line, taken over all ids and
+    over its own id.  No pairs are made.
     """
-    kind = spans.schema[start].dataType
-    ticks = spans.select(
-        *by,
+    kind = df.schema[start].dataType
+    ticks = df.select(
+        id_,
         F.inline(
             F.array(
                 F.struct(F.col(start).alias("_t"), F.lit(1).alias("_s"), F.lit(0).alias("_e")),
@@ -188,26 +192,30 @@ def _overlaps(spans: DataFrame, by: Sequence[str], start: str, end: str, out: st
             )
         ),
     )
-    points = ticks.groupBy(*by, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
-    line = running(
-        points, by, order_of("_t"), {"_started": ("sum", "_s"), "_ended": ("sum", "_e")}, max_rows=max_rows
+    sums = [F.sum("_s").alias("_s"), F.sum("_e").alias("_e")]
+    counts = {"_started": ("sum", "_s"), "_ended": ("sum", "_e")}
+    gone = F.col("_ended") - F.col("_e")
+
+    # A group of spans is hot only where its id, or its end or start, is.
+    by_id = find_hot(df, [id_], max_rows)
+    by_end = by_id and find_hot(df, [id_, end], by_id.max_rows)
+    by_start = by_id and find_hot(df, [id_, start], by_id.max_rows)
+
+    everyone = running(ticks.groupBy("_t").agg(*sums), [], order_of("_t"), counts, max_rows=max_rows)
+    line = everyone.select("_t", F.col("_started").alias("_all_started"), gone.alias("_all_gone"))
+    points = ticks.groupBy(id_, "_t").agg(*sums)
+    own = running(points, [id_], order_of("_t"), counts, max_rows=by_id and by_id.max_rows)
+    # what others have started, and ended before, at each tick of an id; one row per id and tick
+    both = attach(own.withColumn("_gone", gone), line, ["_t"], "left", by_id and by_id.max_rows)
+    others = both.select(
+        id_, "_t", (F.col("_all_started") - F.col("_started")).alias("_started"), (F.col("_all_gone") - F.col("_gone")).alias("_gone")
     )
-    at_end = line.select(*by, F.col("_t").alias(end), "_started")
-    at_start = line.select(*by, F.col("_t").alias(start), (F.col("_ended") - F.col("_e")).alias("_gone"))
-    known = attach(spans, at_end, [*by, end], "left", max_rows)
-    known = attach(known, at_start, [*by, start], "left", max_rows)
+    at_end = others.select(id_, F.col("_t").alias(end), F.col("_started"))
+    at_start = others.select(id_, F.col("_t").alias(start), F.col("_gone"))
+    known = attach(attach(df, at_end, [id_, end], "left", by_end), at_start, [id_, start], "left", by_start)
     return known.withColumn(out, F.col("_started") - F.col("_gone")).drop("_started", "_gone")
 
 
-def overlap_counts(
-    df: DataFrame, id_: str, start: str, end: str, out: str = "n_overlaps", max_rows: Limit = MAX_ROWS
-) -> DataFrame:
-    """How many spans of other ids each span overlaps (ends inclusive)."""
-    everyone = _overlaps(df, [], start, end, "_all", max_rows)
-    own = _overlaps(everyone, [id_], start, end, "_own", max_rows)
-    return own.withColumn(out, F.col("_all") - F.col("_own")).drop("_all", "_own")
-
-
 def overlap_flag(df: DataFrame, id_: str, start: str, end: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """1 for ids with a span that overlaps some other id's span."""
     counts = overlap_counts(df, id_, start, end, "_n", max_rows)

@@ -96,13 +96,17 @@ def zscore_flags(
 def mad_score(df: DataFrame, value: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """Distance from the median in median absolute deviations; NULL if that is 0."""
     hot = find_hot(df, [], max_rows)
-    wide = with_scalars(df, percentiles(df, [], value, {"median": 0.5}, max_rows=hot))
-    spread = percentiles(
-        wide.select(F.abs(F.col(value) - F.col("median")).alias("_d")), [], "_d", {"mad": 0.5}, max_rows=hot
+    # two single numbers
+    median = percentiles(df, [], value, {"median": 0.5}, max_rows=hot).first()[0]
+    away = F.abs(F.col(value) - F.lit(median))
+    mad = percentiles(df.select(away.alias("_d")), [], "_d", {"mad": 0.5}, max_rows=hot).first()[0]
+    return df.withColumns(
+        {
+            "median": F.lit(median).cast("double"),
+            "mad": F.lit(mad).cast("double"),
+            "score": away / F.nullif(F.lit(mad).cast("double"), F.lit(0.0)),
+        }
     )
-    scored = with_scalars(wide, spread)
-    score = F.abs((F.col(value) - F.col("median")) / F.nullif(F.col("mad"), F.lit(0.0)))
-    return scored.withColumn("score", score)
 
 
 def _margin(std: str, n: str, z: float) -> Column:

@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.plans.ordered import order_of, running
-from tablecraft.plans.skew import MAX_ROWS, Limit, find_hot, join_keys, over_group, with_scalars
+from tablecraft.plans.skew import MAX_ROWS, Hot, Limit, attach, find_hot, join_keys, with_scalars
+
+# Spark's exact aggregate keeps a group's distinct values in one hash map.
+BUFFER_ROWS = 500_000
+ACCURACY = 10_000
 
 
 def percentiles(
@@ -17,36 +21,87 @@ def percentiles(
 ) -> DataFrame:
     """One row per group with interpolated percentiles; NULL values are ignored.
 
-    Ordinary groups use Spark's exact aggregate.  If some group is hot, equal
-    values are counted first (a shuffle on key and value, so a hot group spreads
-    over its values), the counts are added up in value order, and the two values
-    around each wanted rank are read off.  ``approx`` uses the mergeable sketch.
-    ``beside`` are further aggregates to report with the percentiles.
+    Ordinary groups use Spark's exact aggregate.  If some group is too large for
+    its buffer, the mergeable sketch gives two values that enclose each wanted
+    rank; one more pass counts what lies below and collects the values between,
+    a few in ten thousand.  The result is exact, and checked: a rank outside its
+    bracket is an error.  ``approx`` returns the sketch's answer.  ``beside`` are
+    further aggregates to report with the percentiles.
     """
     by = list(by)
     more = [c.alias(n) for n, c in (beside or {}).items()]
     if approx:
-        return df.groupBy(*by).agg(*more, *[F.percentile_approx(col, p, 10_000).alias(n) for n, p in wanted.items()])
-    hot = find_hot(df, by, max_rows)
+        return df.groupBy(*by).agg(
+            *more, *[F.percentile_approx(col, F.lit(p), F.lit(ACCURACY)).alias(n) for n, p in wanted.items()]
+        )
+    if isinstance(max_rows, Hot):
+        hot = max_rows
+    else:
+        hot = find_hot(df, by, max_rows and min(max_rows, BUFFER_ROWS))
     if hot is None:
         return df.groupBy(*by).agg(*more, *[F.percentile(col, F.lit(p)).alias(n) for n, p in wanted.items()])
-    counts = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
-    upto = running(counts, by, order_of(col), {"_upto": ("sum", "_c")}, max_rows=hot.max_rows)
-    sized = over_group(upto, by, {"_all": F.sum("_c")}, hot.max_rows)
-    spot = {n: (F.col("_all") - 1) * F.lit(p) for n, p in wanted.items()}
-    ends = sized.groupBy(*by).agg(
-        F.max("_all").alias("_all"),
-        *[F.min(F.when(F.col("_upto") >= F.floor(s) + 1, F.col(col))).alias(f"_lo_{n}") for n, s in spot.items()],
-        *[F.min(F.when(F.col("_upto") >= F.ceil(s) + 1, F.col(col))).alias(f"_hi_{n}") for n, s in spot.items()],
+
+    exact = _bracketed(df.filter(F.col(col).isNotNull()).select(*by, col), by, col, wanted, hot)
+    if not more and not by:
+        return exact
+    if not by:
+        return with_scalars(df.agg(*more), exact)
+    # Groups with only NULL values are absent from the brackets.
+    groups = df.groupBy(*by).agg(*more) if more else df.select(*by).distinct()
+    return join_keys(groups, exact, by)
+
+
+def _bracketed(df: DataFrame, by: list[str], col: str, wanted: dict[str, float], hot: Hot) -> DataFrame:
+    # The sketch is off by at most n / ACCURACY ranks; four times that on each side.
+    slack = 4 / ACCURACY
+    ends = [max(0.0, p - slack) for p in wanted.values()] + [min(1.0, p + slack) for p in wanted.values()]
+    sketch = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_all"),
+        F.percentile_approx(col, F.array(*[F.lit(e) for e in ends]), F.lit(ACCURACY)).alias("_ends"),
     )
-    exact = ends.select(
-        *by,
-        *[
-            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (s - F.floor(s))).alias(n)
-            for n, s in spot.items()
-        ],
+    if by:
+        rows = attach(df, sketch, by, "left", hot)
+    else:
+        rows = with_scalars(df, sketch)
+    names = list(wanted)
+    # Far below the sketch's resolution a group is simply taken whole.
+    whole = F.col("_all") <= 10 * ACCURACY
+    low = [F.get("_ends", F.lit(i)) for i in range(len(names))]
+    high = [F.get("_ends", F.lit(i + len(names))) for i in range(len(names))]
+    value = F.col(col)
+
+    below = rows.groupBy(*by).agg(
+        F.max("_all").alias("_all"), F.array(*[F.count_if(~whole & (value < lo)) for lo in low]).alias("_below")
     )
-    if not by:
-        return with_scalars(df.agg(*more), exact) if more else exact
-    # Groups with only NULL values are absent from the counts.
-    return join_keys(df.groupBy(*by).agg(*(more or [F.first(F.lit(1)).alias("_one")])), exact, by).drop("_one")
+    inside = F.array_compact(
+        F.array(*[F.when(whole | ((value >= lo) & (value <= hi)), F.lit(i)) for i, (lo, hi) in enumerate(zip(low, high))])
+    )
+    # Equal values are counted before anything is ordered.
+    near = rows.select(*by, value, F.explode(inside).alias("_p")).groupBy(*by, "_p", col).agg(F.count(F.lit(1)).alias("_c"))
+    upto = running(near, [*by, "_p"], order_of(col), {"_upto": ("sum", "_c")}, max_rows=hot.max_rows)
+    if by:
+        placed = attach(upto, below, by, "left", hot.max_rows)
+    else:
+        placed = with_scalars(upto, below)
+
+    def found(i: int, p: float) -> list[Column]:
+        rank = (F.col("_all") - 1) * F.lit(p)
+        reach = F.get("_below", F.lit(i)) + F.col("_upto")
+        mine = F.col("_p") == i
+        return [
+            F.min(F.when(mine & (reach >= F.floor(rank) + 1), value)).alias(f"_lo{i}"),
+            F.min(F.when(mine & (reach >= F.ceil(rank) + 1), value)).alias(f"_hi{i}"),
+            F.max(F.when(mine, F.get("_below", F.lit(i)) <= F.floor(rank))).alias(f"_ok{i}"),
+            F.max(rank - F.floor(rank)).alias(f"_part{i}"),
+        ]
+
+    picked = placed.groupBy(*by).agg(*[c for i, p in enumerate(wanted.values()) for c in found(i, p)])
+    out = []
+    for i, name in enumerate(names):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        value_at = lo + (hi - lo) * F.col(f"_part{i}")
+        sound = F.col(f"_ok{i}") & lo.isNotNull() & hi.isNotNull()
+        out.append(
+            F.when(sound, value_at).otherwise(F.raise_error(F.lit(f"{name}: rank outside its bracket")).cast("double")).alias(name)
+        )
+    return picked.select(*by, *out)

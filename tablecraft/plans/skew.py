@@ -139,6 +139,6 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     one row, ships a single value, and plans no join at all.
     """
     names = one_row.columns
-    packed = one_row.select(F.struct(*[F.col(c) for c in names]).alias("_p")).scalar()
-    wide = df.withColumn("_p", packed)
-    return wide.select(*[wide[c] for c in df.columns], *[F.col("_p")[c].alias(c) for c in names])
+    packed = one_row.select(F.struct(*[F.col(c) for c in names]).alias("_one_row")).scalar()
+    wide = df.withColumn("_one_row", packed)
+    return wide.select(*[F.col(c) for c in df.columns], *[F.col("_one_row")[c].alias(c) for c in names])
