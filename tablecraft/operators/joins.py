@@ -206,7 +206,7 @@ def overlap_counts(
     points = ticks.groupBy(id_, "_t").agg(*sums)
     own = running(points, [id_], order_of("_t"), counts, max_rows=by_id and by_id.max_rows)
     # what others have started, and ended before, at each tick of an id; one row per id and tick
-    both = attach(own.withColumn("_gone", gone), line, ["_t"], "left", by_id and by_id.max_rows)
+    both = attach(own.withColumn("_gone", gone), line, ["_t"], "left", find_hot(ticks, ["_t"], max_rows))
     others = both.select(
         id_, "_t", (F.col("_all_started") - F.col("_started")).alias("_started"), (F.col("_all_gone") - F.col("_gone")).alias("_gone")
     )
