@@ -304,7 +304,7 @@ def update_where(df: DataFrame, cond: Column, sets: dict[str, Column]) -> DataFr
 def cascade_delete(child: DataFrame, key: str, deleted: DataFrame, deleted_key: str) -> DataFrame:
     """Child rows left after their parents are deleted."""
     gone = deleted.select(F.col(deleted_key).alias(key)).distinct()
-    return child.join(gone, key, "left_anti")
+    return child.join(gone, key, "left_anti").select(*child.columns)
 
 
 def cascade_set_null(child: DataFrame, key: str, deleted: DataFrame, deleted_key: str) -> DataFrame:
@@ -342,7 +342,7 @@ def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def orphan_rows(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows that point to no parent; a NULL key points nowhere and is allowed."""
     parents = parent.select(F.col(parent_key).alias(key))
-    return child.filter(F.col(key).isNotNull()).join(parents, key, "left_anti")
+    return child.filter(F.col(key).isNotNull()).join(parents, key, "left_anti").select(*child.columns)
 
 
 # -- reuse, fills and reports ------------------------------------------------

@@ -44,13 +44,13 @@ def natural_left_unmatched(left: DataFrame, right: DataFrame, probe: str) -> Dat
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return left.join(right, list(on), "left_anti")
+    return left.join(right, list(on), "left_anti").select(*left.columns)
 
 
 def anti_join_is_null(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """The LEFT JOIN .. IS NULL form over distinct right-hand keys."""
     keys = right.select(*on).distinct().withColumn("_there", F.lit(True))
-    return left.join(keys, list(on), "left").filter(F.col("_there").isNull()).drop("_there")
+    return left.join(keys, list(on), "left").filter(F.col("_there").isNull()).select(*left.columns)
 
 
 def _extreme_rows(df: DataFrame, ids: Sequence[str], ts: str, pick, max_rows: int) -> DataFrame:
@@ -94,7 +94,7 @@ def not_in(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
 def in_heavy_keys(df: DataFrame, key: str, facts: DataFrame, fact_key: str, more_than: int) -> DataFrame:
     """Rows whose key has more than ``more_than`` fact rows."""
     heavy = facts.groupBy(F.col(fact_key).alias(key)).count().filter(F.col("count") > more_than)
-    return df.join(heavy, key, "left_semi")
+    return df.join(heavy, key, "left_semi").select(*df.columns)
 
 
 def divide(keys: DataFrame, facts: DataFrame, key: str, val: str, divisor: DataFrame) -> DataFrame:
