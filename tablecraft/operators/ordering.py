@@ -23,8 +23,13 @@ def _columns(order: Sequence[str], nulls_last: bool) -> list[Column]:
 
 
 def sort_rows(df: DataFrame, *order: str, nulls_last: bool = False) -> DataFrame:
-    """Total order: Spark samples the keys and range-partitions the rows."""
-    return df.orderBy(*_columns(order, nulls_last))
+    """Total order: Spark samples the keys and range-partitions the rows.
+
+    The row's place in the input is the last key, so rows that tie can still go
+    to different tasks.
+    """
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    return placed.orderBy(*_columns(order, nulls_last), "_place").drop("_place")
 
 
 def top_k(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:

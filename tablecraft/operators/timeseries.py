@@ -182,7 +182,7 @@ def ema(
         return pd.DataFrame({key: pdf[key], PIECE: pdf[PIECE], "_gap": gaps})
 
     # one row per piece, at most MAX_PIECES + 2 for a key
-    gaps = pieces.groupBy(key).applyInPandas(starts, f"{key} {key_type}, {PIECE} int, _gap double")
+    gaps = pieces.groupBy(key).applyInPandas(starts, f"{key} {key_type}, {PIECE} long, _gap double")
     joined = join_keys(local, gaps, [key, PIECE])
     fade = F.pow(F.lit(1 - alpha), F.col("_k")) * F.col("_gap")
     fixed = F.when(F.col(HOT).isNull(), F.col(out)).otherwise(F.col(out) + fade)

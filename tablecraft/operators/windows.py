@@ -220,7 +220,13 @@ def rolling_sum_time(
     max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Sum over the last ``seconds`` of time, peers included."""
-    return time_framed(df, by, ts, seconds, lambda w: {out: F.sum(col).over(w)}, max_rows)
+    hot = find_hot(df, by, max_rows)
+    if hot is None:
+        return time_framed(df, by, ts, seconds, lambda w: {out: F.sum(col).over(w)}, None)
+    # rows of one time are one row while in order
+    points = df.groupBy(*by, ts).agg(F.sum(col).alias("_s"))
+    line = time_framed(points, by, ts, seconds, lambda w: {out: F.sum("_s").over(w)}, hot.max_rows)
+    return attach(df, line.drop("_s"), [*by, ts], "left", hot.max_rows)
 
 
 def event_distance(

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from tablecraft.plans.skew import (
-    HOT, MAX_ROWS, Hot, Limit, find_hot, join_keys, mark_hot, over_group, with_scalars,
+    HOT, MAX_ROWS, Hot, Limit, attach, find_hot, join_keys, mark_hot, over_group, with_scalars,
 )
 
 PIECE = "_piece"
@@ -66,14 +66,15 @@ def as_number(df: DataFrame, name: str) -> Column:
     return col.cast("double")
 
 
-def _cuts(hot_rows: DataFrame, max_rows: int) -> list[float]:
+def _cuts(hot_rows: DataFrame, max_rows: int) -> tuple[list[float], list[float]]:
+    """Cut points along ``POS`` and the values so frequent that they fill a piece."""
     rows = hot_rows.count()
     pieces = min(MAX_PIECES, math.ceil(rows / max_rows))
     probs = [i / pieces for i in range(1, pieces)]
     found = hot_rows.approxQuantile(POS, probs, 1.0 / (4 * pieces)) if probs else []
-    # A value that fills several quantiles becomes a piece of its own.
-    heavy = {v for v, times in Counter(found).items() if times > 1}
-    return sorted(set(found) | {math.nextafter(v, math.inf) for v in heavy})
+    # A value that is several quantiles becomes a piece of its own.
+    heavy = sorted(v for v, times in Counter(found).items() if times > 1)
+    return sorted(set(found) | {math.nextafter(v, math.inf) for v in heavy}), heavy
 
 
 def cut(
@@ -81,9 +82,10 @@ def cut(
 ) -> tuple[DataFrame, Hot, list[float]] | None:
     """Rows with their piece number, hot groups cut along the first order column.
 
-    Returns None when no group is hot.  Rows that tie on the first order column
-    are never separated, pieces are numbered in the order of the rows, and rows
-    of other groups are all in piece 0.
+    Returns None when no group is hot.  Pieces are numbered in the order of the
+    rows; rows of other groups are all in piece 0.  Rows that tie on the first
+    order column stay together, except that a very frequent value is cut further
+    along the second order column if there is one.
     """
     hot = find_hot(df, by, max_rows)
     if hot is None:
@@ -92,12 +94,35 @@ def cut(
     rows = mark_hot(df, by, hot).withColumn(POS, as_number(df, name))
     if name not in hot.cuts:
         hot.cuts[name] = _cuts(rows.filter(F.col(HOT).isNotNull() & F.col(POS).isNotNull()), hot.max_rows)
-    cuts = hot.cuts[name]
+    cuts, heavy = hot.cuts[name]
     bucket = _bucket(rows, POS, cuts, "_bucket")
     place = F.col("_bucket") if up else -F.col("_bucket")
     # NULLs come first when rising and last when falling
     piece = F.when(F.col(HOT).isNull(), 0).when(F.col(POS).isNull(), F.lit(-1 if up else 1)).otherwise(place)
-    return bucket.withColumn(PIECE, piece).drop("_bucket"), hot, cuts
+    placed = bucket.withColumn(PIECE, piece.cast("long")).drop("_bucket")
+    if heavy and len(order) > 1:
+        placed = _cut_ties(placed, heavy, order[1], hot)
+    return placed, hot, cuts
+
+
+def _cut_ties(rows: DataFrame, heavy: list[float], order: tuple[str, bool], hot: Hot) -> DataFrame:
+    """Divide the pieces that hold one frequent value along the next order column."""
+    name, up = order
+    try:
+        number = as_number(rows, name)
+    except TypeError:
+        return rows
+    tied = F.col(HOT).isNotNull() & F.col(POS).isin(heavy)
+    within = rows.filter(tied).select(number.alias(POS))
+    key = f"{name} within ties"
+    if key not in hot.cuts:
+        hot.cuts[key] = _cuts(within.filter(F.col(POS).isNotNull()), hot.max_rows)
+    cuts, _ = hot.cuts[key]
+    inner = _bucket(rows.withColumn("_pos2", number), "_pos2", cuts, "_inner")
+    span = len(cuts) + 4
+    place = F.col("_inner") + 2 if up else len(cuts) + 1 - F.col("_inner")
+    step = F.when(~tied, 0).when(F.col("_pos2").isNull(), F.lit(1 if up else span - 1)).otherwise(place)
+    return inner.withColumn(PIECE, F.col(PIECE) * span + step).drop("_pos2", "_inner")
 
 
 def _bucket(rows: DataFrame, pos: str, cuts: list[float], out: str) -> DataFrame:
@@ -151,10 +176,14 @@ def running(
     """Running ``sum``, ``count``, ``min``, ``max`` or ``last`` (non-null) values.
 
     ``frame="range"`` includes all peers of the current row; ``current=False``
-    stops at the row before.
+    (row frames only) stops at the row before.
     """
     by = list(by)
     values = {out: (F.col(c) if isinstance(c, str) else c) for out, (_, c) in aggs.items()}
+    if frame == "range":
+        max_rows = find_hot(df, by, max_rows)
+        if max_rows is not None:
+            return _running_peers(df, by, order, aggs, values, max_rows)
     done = cut(df, by, order, max_rows)
     keys = by if done is None else [*by, PIECE]
     rows = df if done is None else done[0]
@@ -190,6 +219,18 @@ def running(
     )
 
 
+def _running_peers(df: DataFrame, by: list[str], order: Order, aggs: dict, values: dict, hot: Hot) -> DataFrame:
+    """Running values up to the last peer: one row per order value, then back to the rows.
+
+    However many rows share an order value, they are one row while in order.
+    """
+    at = list(dict.fromkeys([*by, *(c for c, _ in order)]))
+    points = df.groupBy(*at).agg(*[_RUN[fn](values[out]).alias(out) for out, (fn, _) in aggs.items()])
+    merged = {out: ("sum" if fn == "count" else fn, out) for out, (fn, _) in aggs.items()}
+    line = running(points, by, order, merged, max_rows=hot.max_rows).select(*at, *aggs)
+    return attach(df.drop(*aggs), line, at, "left", hot.max_rows)
+
+
 def _rank_key(df: DataFrame, order: Order) -> list[Column]:
     """Columns whose struct order equals the sort order."""
     key = []
@@ -228,34 +269,29 @@ def ranked(
 ) -> DataFrame:
     """Row numbers and ranks over whole groups."""
     by = list(by)
-    done = cut(df, by, order, max_rows)
-    keys = by if done is None else [*by, PIECE]
-    rows = df if done is None else done[0]
-    w = W.partitionBy(*keys).orderBy(*_sort(order))
-    wanted = {}
+    hot = find_hot(df, by, max_rows)
+    if hot is None:
+        w = W.partitionBy(*by).orderBy(*_sort(order))
+        asked = {row_number: F.row_number(), rank: F.rank(), dense_rank: F.dense_rank()}
+        return df.withColumns({name: fn.over(w) for name, fn in asked.items() if name})
+    out = df
+    if rank or dense_rank:
+        # one row per order value: ties are counted before anything is in order
+        at = list(dict.fromkeys([*by, *(c for c, _ in order)]))
+        points = df.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
+        before = {"_better": ("sum", "_n"), "_above": ("count", F.lit(1))}
+        line = running(points, by, order, before, current=False, max_rows=hot.max_rows)
+        ranks = {rank: F.coalesce("_better", F.lit(0)) + 1, dense_rank: F.col("_above") + 1}
+        out = attach(out, line.select(*at, *[c.alias(n) for n, c in ranks.items() if n]), at, "left", hot.max_rows)
     if row_number:
-        wanted[row_number] = F.row_number().over(w)
-    if rank:
-        wanted[rank] = F.rank().over(w)
-    if dense_rank:
-        wanted[dense_rank] = F.dense_rank().over(w)
-    local = rows.withColumns(wanted)
-    if done is None:
-        return local
-    local = local.withColumns({c: F.col(c).cast("long") for c in wanted})
-    summary = _piece_summary(
-        local, by, [F.count(F.lit(1)).alias("_n"), *([F.max(dense_rank).alias("_d")] if dense_rank else [])]
-    )
-    w_before = _earlier(by)
-    carry = summary.select(
-        *by,
-        PIECE,
-        F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_before"),
-        *([F.coalesce(F.sum("_d").over(w_before), F.lit(0)).alias("_before_d")] if dense_rank else []),
-    )
-    joined = join_keys(local, carry, [*by, PIECE], "left")
-    shift = {c: F.col(c) + F.coalesce(F.col("_before_d" if c == dense_rank else "_before"), F.lit(0)) for c in wanted}
-    return joined.withColumns(shift).select(*[c for c in df.columns if c not in wanted], *wanted)
+        rows = cut(out, by, order, hot)[0]
+        local = rows.withColumn(row_number, F.row_number().over(W.partitionBy(*by, PIECE).orderBy(*_sort(order))))
+        sizes = _piece_summary(rows, by, [F.count(F.lit(1)).alias("_n")])
+        carry = sizes.select(*by, PIECE, F.sum("_n").over(_earlier(by)).alias("_before"))
+        joined = join_keys(local, carry, [*by, PIECE], "left")
+        total = F.col(row_number) + F.coalesce(F.col("_before"), F.lit(0))
+        out = joined.withColumn(row_number, total).select(*out.columns, row_number)
+    return out
 
 
 def framed(
@@ -316,7 +352,7 @@ def time_framed(
     rows, _, cuts = done
     ahead = _bucket(rows.withColumn("_reach", F.col(POS) + reach), "_reach", cuts, "_until")
     last = F.when(F.col(HOT).isNull() | F.col(POS).isNull(), F.col(PIECE)).otherwise(F.col("_until"))
-    copies = ahead.withColumn("_at", F.explode(F.sequence(F.col(PIECE), last)))
+    copies = ahead.withColumn("_at", F.explode(F.sequence(F.col(PIECE), last.cast("long"))))
     w = W.partitionBy(*by, "_at").orderBy("_us").rangeBetween(-reach, 0)
     wide = copies.withColumns(columns(w))
     return wide.filter(F.col("_at") == F.col(PIECE)).drop("_us", "_at", "_until", "_reach", PIECE, POS, HOT)

@@ -31,7 +31,7 @@ class Hot:
 
     groups: DataFrame
     max_rows: int
-    cuts: dict[str, list[float]] = field(default_factory=dict)
+    cuts: dict[str, tuple[list[float], list[float]]] = field(default_factory=dict)
 
 
 # A row limit to look for; None when groups are known to be small; or what was found.

@@ -17,7 +17,7 @@ from tablecraft.operators import joins as J
 from tablecraft.operators import stats as M
 from tablecraft.operators import timeseries as S
 from tablecraft.operators import windows as V
-from tablecraft.plans.ordered import framed, next_known, order_of, ranked, running, tiles, time_framed
+from tablecraft.plans.ordered import cut, framed, next_known, order_of, ranked, running, tiles, time_framed
 from tablecraft.plans.quantiles import percentiles
 from tablecraft.plans.skew import attach, find_hot, over_group
 
@@ -60,7 +60,7 @@ AGGS = {"s": ("sum", "value"), "c": ("count", "maybe"), "low": ("min", "value"),
 @pytest.mark.parametrize("kw", [{}, {"frame": "range"}, {"current": False}])
 def test_running(rows, by, kw):
     order = order_of("hour") if kw.get("frame") else order_of("ts", "event_id")
-    aggs = {k: v for k, v in AGGS.items() if not (kw.get("frame") and k == "l")}
+    aggs = {k: v for k, v in AGGS.items() if not (kw.get("frame") and k == "l")}  # no last among peers
     both(lambda m: running(rows, by, order, aggs, max_rows=m, **kw))
 
 
@@ -84,6 +84,18 @@ def test_ranked(rows, by):
     both(lambda m: ranked(rows, by, order_of("hour"), rank="r", dense_rank="d", max_rows=m))
 
 
+def test_one_order_value_holds_most_rows(rows):
+    """Ties are cut along the second order column, or counted as one row."""
+    flat = rows.withColumn("day", F.when(F.col("event_id") % 10 < 8, 3).otherwise(F.col("event_id") % 7))
+    for order in (order_of("day", "event_id"), order_of("-day", "-event_id"), order_of("day", "-maybe", "event_id")):
+        both(lambda m, o=order: ranked(flat, [], o, row_number="rn", max_rows=m))
+        both(lambda m, o=order: running(flat, ["user_id"], o, {"s": ("sum", "value")}, max_rows=m))
+    both(lambda m: ranked(flat, [], order_of("day"), rank="r", dense_rank="d", max_rows=m))
+    both(lambda m: running(flat, [], order_of("day"), {"s": ("sum", "value"), "n": ("count", "maybe")}, "range", max_rows=m))
+    pieces = cut(flat, [], order_of("day", "event_id"), SMALL)[0].groupBy("_piece").count().agg(F.max("count")).first()[0]
+    assert pieces <= 3 * SMALL
+
+
 def test_framed(rows):
     def columns(w):
         return {"lag2": F.lag("value", 2).over(w), "lead3": F.lead("value", 3).over(w), "avg": F.avg("value").over(w.rowsBetween(-6, 3))}
