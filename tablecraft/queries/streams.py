@@ -7,14 +7,26 @@ from pyspark.sql import functions as F
 from tablecraft.operators import etl
 from tablecraft.plans.registry import Tables, query
 from tablecraft.plans.storage import shared_dir
+from tablecraft.session import tune
 from tablecraft.streaming import streams as S
 
 COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def _source(t: Tables):
+def _session(t: Tables):
+    """A session for the stream alone: its state has one partition per core.
+
+    Stateful operators keep the partition count they start with and are not
+    merged by AQE, so the batch default is not used for them.
+    """
+    session = tune(t.spark.newSession())
+    session.conf.set("spark.sql.shuffle.partitions", str(t.spark.sparkContext.defaultParallelism))
+    return session
+
+
+def _source(t: Tables, session=None):
     """The events as a stream; the whole table is one bounded run."""
-    return S.event_source(t.spark, t.folder + "/events.parque[t]", t.events.schema).select(*COLS)
+    return S.event_source(session or _session(t), t.folder + "/events.parque[t]", t.events.schema).select(*COLS)
 
 
 def _feed(t: Tables, files: int = 3):
@@ -36,7 +48,7 @@ def stream_events(t):
     view = S.stream_events(
         stream, "event_type", {"browse": ["click", "view"], "buy": ["purchase"]}, "clean_type", "original_type"
     )
-    return S.run_to_files(view, "clean-events")
+    return S.run_to_files(view, "clean-events", spark=t.spark)
 
 
 @query(
@@ -50,7 +62,7 @@ def stream_events(t):
 def stream_buckets(t):
     stream = _source(t)
     return S.run_to_files(
-        S.stream_buckets(stream, "event_type", "ts", "value", "1 hour", "10 minutes"), "buckets"
+        S.stream_buckets(stream, "event_type", "ts", "value", "1 hour", "10 minutes"), "buckets", spark=t.spark
     ).drop("p99_value")
 
 
@@ -66,7 +78,7 @@ def stream_buckets(t):
 )
 def stream_sessions(t):
     stream = _source(t).select("user_id", "ts")
-    return S.run_to_files(S.stream_sessions(stream, "user_id", "ts", "30 minutes", "10 minutes"), "sessions")
+    return S.run_to_files(S.stream_sessions(stream, "user_id", "ts", "30 minutes", "10 minutes"), "sessions", spark=t.spark)
 
 
 @query(
@@ -92,14 +104,15 @@ def stream_upsert(t):
     """,
 )
 def stream_interval_join(t):
-    errors = _source(t).filter("event_type = 'error'").select(
+    session = _session(t)
+    errors = _source(t, session).filter("event_type = 'error'").select(
         F.col("event_id").alias("error_id"), "user_id", F.col("ts").alias("error_ts")
     )
-    purchases = _source(t).filter("event_type = 'purchase'").select(
+    purchases = _source(t, session).filter("event_type = 'purchase'").select(
         F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("purchase_ts")
     )
     joined = S.stream_interval_join(errors, purchases, "user_id", "error_ts", "purchase_ts", 3600, "10 minutes")
-    return S.run_to_files(joined, "pairs")
+    return S.run_to_files(joined, "pairs", spark=t.spark)
 
 
 @query(
@@ -116,4 +129,4 @@ def stream_interval_join(t):
 )
 def stream_state_runs(t):
     stream = _source(t)
-    return S.run_to_files(S.stream_state_runs(stream, "user_id", "ts", "event_type", "error", "10 minutes"), "runs")
+    return S.run_to_files(S.stream_state_runs(stream, "user_id", "ts", "event_type", "error", "10 minutes"), "runs", spark=t.spark)

@@ -33,19 +33,19 @@ def event_source(
     return reader.parquet(path)
 
 
-def run_to_files(stream: DataFrame, name: str, mode: str = "append", timeout: int | None = None) -> DataFrame:
-    """Process what is available and give back the written rows.
+def run_to_files(stream: DataFrame, name: str, mode: str = "append", spark: SparkSession | None = None) -> DataFrame:
+    """Process what is available and give back the written rows, read by ``spark``.
 
     Output and checkpoint live in the shared folder; the file sink writes every
     batch exactly once.
     """
-    spark = stream.sparkSession
+    spark = spark or stream.sparkSession
     out, state = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-state")
     query = (
         stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", state)
         .trigger(availableNow=True).start(out)
     )
-    query.awaitTermination(timeout)
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -125,10 +125,6 @@ def stream_interval_join(
 _STATE = "in_run boolean, run_start long, run_end long, n long, wait_ts array<long>, wait_in array<boolean>"
 
 
-def _utc(micros: int) -> pd.Timestamp:
-    return pd.Timestamp(micros, unit="us")
-
-
 def stream_state_runs(stream: DataFrame, key: str, ts: str, state: str, value: str, delay: str) -> DataFrame:
     """Closed runs of a state per key: start, end, rows.
 
@@ -160,7 +156,7 @@ def stream_state_runs(stream: DataFrame, key: str, ts: str, state: str, value: s
                 start, n = (start, n + 1) if inside else (at, 1)
                 end = at
             elif inside:
-                closed.append((keys[0], _utc(start), _utc(end), n))
+                closed.append((keys[0], pd.Timestamp(start, unit="us"), pd.Timestamp(end, unit="us"), n))
             inside = bool(now)
         held.update((inside, start, end, n, [w[0] for w in waiting], [bool(w[1]) for w in waiting]))
         if waiting:
