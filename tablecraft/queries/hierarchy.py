@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablecraft.operators import hierarchy as H
+from tablecraft.operators.windows import top_n_rank
 from tablecraft.plans.registry import query
 
 
@@ -69,8 +70,6 @@ LANES = """
 
 def _lanes(t):
     """The three least used lanes out of each nation; a lane costs its line count."""
-    from tablecraft.operators.windows import top_n_rank
-
     buyers = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     lines = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nationkey")
     used = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).filter("c_nationkey <> s_nationkey")
@@ -78,20 +77,20 @@ def _lanes(t):
     return top_n_rank(costs, ["a"], ["cost", "b"], 3).drop("rank")
 
 
-@query(
-    "rc4_cheapest_paths",
-    f"""
+WALKS = f"""
     WITH RECURSIVE {LANES}, w AS (
       SELECT 0 AS hub, CAST(0 AS BIGINT) AS total, 0 AS hops
       UNION ALL SELECT hub, total, hops FROM (
         SELECT b AS hub, min(total + cost) AS total, max(hops) + 1 AS hops FROM w JOIN lanes ON hub = a WHERE hops < 24 GROUP BY b))
     SELECT CAST(hub AS INTEGER) AS hub, min(total) AS total_cost FROM w GROUP BY hub
-    """,
-)
+"""
+
+
+@query("rc4_cheapest_paths", WALKS)
 def cheapest_paths(t):
     return H.cheapest_paths(_lanes(t), "a", "b", "cost", 0).drop("path")
 
 
-@query("rc4_cheapest_path")
+@query("rc4_cheapest_path", f"SELECT * FROM ({WALKS}) WHERE hub = 24")
 def cheapest_path(t):
-    return H.cheapest_path(_lanes(t), "a", "b", "cost", 0, 24)
+    return H.cheapest_path(_lanes(t), "a", "b", "cost", 0, 24).drop("path")
