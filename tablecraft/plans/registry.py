@@ -27,21 +27,29 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(tables) -> DataFrame`` under a name with its SQL twin."""
+def query(name: str, sql: str | None = None, text: tuple[str, ...] = ()):
+    """Register ``fn(tables) -> DataFrame`` under a name with its SQL twin.
+
+    ``text`` names date columns that both sides give as ISO text, since client
+    libraries disagree on what a date without a time is.
+    """
 
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is already registered")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(tune(spark), sf_dir))
+            out = fn(Tables(tune(spark), sf_dir))
+            return out.withColumns({c: F.col(c).cast("string") for c in text}) if text else out
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql:
-            SQL[name] = " ".join(sql.split())
+            flat = " ".join(sql.split())
+            if text:
+                flat = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in text)}) FROM ({flat})"
+            SQL[name] = flat
         return fn
 
     return register

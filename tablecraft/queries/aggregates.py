@@ -28,6 +28,7 @@ def group_agg(t):
 @query(
     "ag1_daily_average",
     "SELECT CAST(ts AS DATE) AS date, round(avg(value), 4) AS avg_value FROM events WHERE user_id = 1 GROUP BY 1",
+    text=("date",),
 )
 def daily_average(t):
     days = t.events.filter("user_id = 1").withColumn("date", F.to_date("ts"))

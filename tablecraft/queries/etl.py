@@ -80,6 +80,7 @@ def gated_load(t):
     SELECT CAST(ts AS DATE) AS day, event_type, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN round(sum(value), 2) ELSE 0 END AS total
     FROM events GROUP BY 1, 2
     """,
+    text=("day",),
 )
 def replace_day(t):
     path = shared_dir(t.spark, "daily-revenue")
@@ -147,6 +148,7 @@ def upsert_twice(t):
     SELECT event_id, day, user_id, CASE WHEN day >= DATE '2024-01-20' AND event_type = 'purchase' THEN round(value + 1, 2) ELSE value END AS value
     FROM (SELECT *, CAST(ts AS DATE) AS day FROM events)
     """,
+    text=("day",),
 )
 def upsert_partitions(t):
     path = shared_dir(t.spark, "events-upsert")
@@ -201,12 +203,13 @@ def quarantine(t):
 @query(
     "et7_valid_rows",
     f"""
-    SELECT l_orderkey, l_linenumber, user_id, CAST(event_date AS DATE) AS event_date, CAST(amount AS DECIMAL(18,2)) AS amount
+    SELECT l_orderkey, l_linenumber, user_id, CAST(event_date AS DATE) AS event_date, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount
     FROM ({RAW}) WHERE {REASON} IS NULL
     """,
+    text=("event_date",),
 )
 def valid_rows(t):
-    return _split(t)[0]
+    return _split(t)[0].withColumn("amount", F.col("amount").cast("double"))
 
 
 @query(
@@ -221,6 +224,7 @@ def delete_where(t):
 @query(
     "et8_purge_partitions",
     "SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-10'",
+    text=("day",),
 )
 def purge_partitions(t):
     path = shared_dir(t.spark, "events-archive")

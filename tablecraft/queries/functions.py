@@ -54,6 +54,7 @@ def contains_token(t):
            CAST(l_shipdate AS DATE) AS ship_date
     FROM lineitem
     """,
+    text=("ship_date",),
 )
 def typed_columns(t):
     text = t.lineitem.select(
@@ -73,7 +74,7 @@ def typed_columns(t):
     SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS padded,
            strftime(o_orderdate, '%Y-%m-%d') AS day_text, strftime(o_orderdate, '%Y-%B') AS month_text,
            printf('%.2f', o_totalprice) AS price_text,
-           CAST(o_orderkey AS DECIMAL(10, 0)) AS key_back
+           CAST(o_orderkey AS BIGINT) AS key_back
     FROM orders
     """,
 )
@@ -86,7 +87,7 @@ def display_columns(t):
         F.date_format("o_orderdate", "yyyy-MMMM").alias("month_text"),
         F.replace(E.money_text("o_totalprice"), F.lit(","), F.lit("")).alias("price_text"),
     )
-    return out.withColumn("key_back", E.parse_number("padded", "9999999999").cast("decimal(10,0)"))
+    return out.withColumn("key_back", E.parse_number("padded", "9999999999").cast("long"))
 
 
 @query(
@@ -108,6 +109,7 @@ def month_number(t):
            CAST(hour(ts) AS INTEGER) AS hour, date_trunc('hour', ts) AS hour_start, epoch_us(ts) / 1e6 AS epoch
     FROM events
     """,
+    text=("date",),
 )
 def date_parts(t):
     out = E.date_parts(t.events.select("event_id", "ts"), "ts").drop("ts")
@@ -123,6 +125,7 @@ def date_parts(t):
            CAST(date_diff('day', DATE '2001-12-31', CAST(min(o_orderdate) AS DATE)) AS INTEGER) AS days_until_first
     FROM orders GROUP BY o_custkey
     """,
+    text=("last_date", "first_date",),
 )
 def recency_days(t):
     return E.recency_days(t.orders, "o_custkey", "o_orderdate", "2001-12-31")

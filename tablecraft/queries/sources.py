@@ -144,6 +144,7 @@ def hash_partitioned(t):
     SELECT event_id, user_id, value, CAST(ts AS DATE) AS event_date FROM events
     WHERE CAST(ts AS DATE) <> DATE '2024-01-03'
     """,
+    text=("event_date",),
 )
 def detach_attach(t):
     path = shared_dir(t.spark, "events-parts")

@@ -50,6 +50,7 @@ DAILY = """
     SELECT day, cumulative_orders, round(day_number * s + i, 4) AS y_predicted, round((day_number + 1) * s + i, 4) AS next_y_predicted
     FROM d CROSS JOIN f
     """,
+    text=("day",),
 )
 def trend_line(t):
     # one row per calendar day
@@ -60,7 +61,7 @@ def trend_line(t):
     )
 
 
-@query("ml4_daily_cumulative", DAILY)
+@query("ml4_daily_cumulative", DAILY, text=("day",))
 def daily_cumulative(t):
     return S.daily_cumulative(t.orders, "o_orderdate", max_rows=None)
 
@@ -126,6 +127,7 @@ def mean_ci(t):
                 WHEN (m + 1.96 * s / sqrt(n)) - (m - 1.96 * s / sqrt(n)) > 0.035 THEN 'Volatility Spike (Bug?) 🐛' ELSE 'Stable ✅' END AS status
     FROM r WHERE n >= 7
     """,
+    text=("day",),
 )
 def rolling_ci(t):
     error = F.count_if(F.col("event_type") == "error")

@@ -141,6 +141,7 @@ MONTHLY = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round
            round((lead(revenue) OVER (ORDER BY month) - revenue) / revenue, 6) AS change_ahead
     FROM ({MONTHLY})
     """,
+    text=("month",),
 )
 def pct_change(t):
     months = t.orders.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(
@@ -292,6 +293,7 @@ def running_total_cut(t):
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative
     FROM (SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS day_total FROM events GROUP BY 1, 2)
     """,
+    text=("day",),
 )
 def daily_then_cumulative(t):
     return rounded(V.daily_then_cumulative(t.events, ["user_id"], "ts", "value"), 2, "day_total", "cumulative")
