@@ -101,7 +101,7 @@ def ratio_of_totals(
     joined = base.select(group, member).distinct().join(per_member, member)
     return joined.groupBy(group).agg(
         (F.sum("_n") / F.count_distinct(member)).alias("avg_visits"),
-        (F.sum("_sum") / F.count_distinct(member)).alias("avg_cost"),
+        (F.sum("_sum").cast("double") / F.count_distinct(member)).alias("avg_cost"),
     )
 
 
@@ -184,7 +184,7 @@ def dim_average(
 ) -> DataFrame:
     """Average of a fact by a dimension column; summed per key before the join."""
     per_key = facts.groupBy(F.col(fact_key).alias(dim_key)).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    return per_key.join(dim, dim_key).groupBy(by).agg((F.sum("_s") / F.sum("_n")).alias(out))
+    return per_key.join(dim, dim_key).groupBy(by).agg((F.sum("_s").cast("double") / F.sum("_n")).alias(out))
 
 
 def filtered_join_average(

@@ -68,3 +68,13 @@ def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
         return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
 
     return df.withColumns({c: one(c) for c in cols})
+
+
+def exact(df: DataFrame, *cols: str) -> DataFrame:
+    """Money columns as decimals: sums and means do not depend on the order of rows."""
+    return df.withColumns({c: F.col(c).cast("decimal(24,8)") for c in cols})
+
+
+def mean_sql(col: str, over: str = "") -> str:
+    """SQL for the mean of a money column from its sum in whole cents."""
+    return f"(CAST(sum(CAST(round({col} * 100) AS BIGINT)) {over} AS DOUBLE) / (count({col}) {over} * 100))"

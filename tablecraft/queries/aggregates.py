@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablecraft.operators import aggregates as A
-from tablecraft.plans.registry import query, rounded
+from tablecraft.plans.registry import exact, mean_sql, query, rounded
 
 
 @query(
     "ag1_group_agg",
-    """
+    f"""
     SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total,
-           round(avg(o_totalprice), 4) AS average, min(o_totalprice) AS low, max(o_totalprice) AS high
+           round({mean_sql('o_totalprice')}, 4) AS average, min(o_totalprice) AS low, max(o_totalprice) AS high
     FROM orders GROUP BY o_orderstatus, o_orderpriority
     """,
 )
@@ -20,18 +20,18 @@ def group_agg(t):
     p = F.col("o_totalprice")
     out = A.group_agg(
         t.orders, ["o_orderstatus", "o_orderpriority"],
-        n=F.count("*"), total=F.sum(p), average=F.avg(p), low=F.min(p), high=F.max(p),
+        n=F.count("*"), total=F.sum(p), average=F.avg(p.cast("decimal(24,8)")), low=F.min(p), high=F.max(p),
     )
     return rounded(rounded(out, 2, "total"), 4, "average")
 
 
 @query(
     "ag1_daily_average",
-    "SELECT CAST(ts AS DATE) AS date, round(avg(value), 4) AS avg_value FROM events WHERE user_id = 1 GROUP BY 1",
+    f"SELECT CAST(ts AS DATE) AS date, round({mean_sql('value')}, 4) AS avg_value FROM events WHERE user_id = 1 GROUP BY 1",
     text=("date",),
 )
 def daily_average(t):
-    days = t.events.filter("user_id = 1").withColumn("date", F.to_date("ts"))
+    days = exact(t.events, "value").filter("user_id = 1").withColumn("date", F.to_date("ts"))
     return rounded(A.group_agg(days, ["date"], avg_value=F.avg("value")), 4, "avg_value")
 
 
@@ -155,12 +155,12 @@ def pct_where_join(t):
     "ag9_ratio_of_totals",
     """
     SELECT c_nationkey, round(count(*) / CAST(count(DISTINCT c_custkey) AS DOUBLE), 6) AS avg_visits,
-           round(sum(o_totalprice) / count(DISTINCT c_custkey), 4) AS avg_cost
+           round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(DISTINCT c_custkey), 4) AS avg_cost
     FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_nationkey
     """,
 )
 def ratio_of_totals(t):
-    out = A.ratio_of_totals(t.customer, "c_nationkey", "c_custkey", t.orders, "o_custkey", "o_totalprice")
+    out = A.ratio_of_totals(t.customer, "c_nationkey", "c_custkey", exact(t.orders, "o_totalprice"), "o_custkey", "o_totalprice")
     return rounded(rounded(out, 6, "avg_visits"), 4, "avg_cost")
 
 
@@ -226,7 +226,7 @@ def zero_key_error(t):
 
 
 def _dated(t):
-    return t.orders.select(
+    return exact(t.orders, "o_totalprice").select(
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderpriority", "o_totalprice"
     )
 
@@ -240,7 +240,7 @@ DATED = """
 @query(
     "ag13_rollup",
     f"""
-    SELECT o_orderpriority, year, month, round(avg(o_totalprice), 4) AS average, count(*) AS n,
+    SELECT o_orderpriority, year, month, round({mean_sql('o_totalprice')}, 4) AS average, count(*) AS n,
            CAST(grouping_id(o_orderpriority, year, month) AS BIGINT) AS level
     FROM {DATED} GROUP BY ROLLUP(o_orderpriority, year, month)
     """,
@@ -251,7 +251,7 @@ def rollup(t):
 
 
 CUBE = f"""
-  SELECT o_orderpriority, year, month, round(avg(o_totalprice), 4) AS average, count(*) AS n,
+  SELECT o_orderpriority, year, month, round({mean_sql('o_totalprice')}, 4) AS average, count(*) AS n,
          CAST(grouping_id(o_orderpriority, year, month) AS BIGINT) AS level
   FROM {DATED} GROUP BY CUBE(o_orderpriority, year, month)
 """
@@ -302,12 +302,12 @@ def spread_topk(t):
 
 @query(
     "ag17_dim_average",
-    """
-    SELECT c_mktsegment, round(avg(o_totalprice), 4) AS average FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1
+    f"""
+    SELECT c_mktsegment, round({mean_sql('o_totalprice')}, 4) AS average FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1
     """,
 )
 def dim_average(t):
-    out = A.dim_average(t.orders, "o_custkey", "o_totalprice", t.customer, "c_custkey", "c_mktsegment")
+    out = A.dim_average(exact(t.orders, "o_totalprice"), "o_custkey", "o_totalprice", t.customer, "c_custkey", "c_mktsegment")
     return rounded(out, 4, "average")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablecraft.operators import stats as S
-from tablecraft.plans.registry import query, rounded
+from tablecraft.plans.registry import exact, mean_sql, query, rounded
 
 
 @query(
@@ -139,8 +139,8 @@ def rolling_ci(t):
 
 @query(
     "ml9_fpc_ci",
-    """
-    WITH a AS (SELECT user_id, avg(value) AS m, stddev_samp(value) AS s, count(value) AS n FROM events GROUP BY 1 HAVING count(value) > 1)
+    f"""
+    WITH a AS (SELECT user_id, {mean_sql('value')} AS m, stddev_samp(value) AS s, count(value) AS n FROM events GROUP BY 1 HAVING count(value) > 1)
     SELECT user_id, round(m, 4) AS avg_score, n AS sample_n, CAST(1500 AS DOUBLE) AS population_n, round(s / sqrt(n), 6) AS standard_se,
            round(sqrt((1500.0 - n) / 1499.0), 6) AS fpc_factor,
            round(1.96 * (s / sqrt(n)) * sqrt((1500.0 - n) / 1499.0), 6) AS adj_margin_of_error,
@@ -148,7 +148,7 @@ def rolling_ci(t):
     """,
 )
 def fpc_ci(t):
-    out = S.fpc_ci(t.events, ["user_id"], "value", 1500)
+    out = S.fpc_ci(exact(t.events, "value"), ["user_id"], "value", 1500)
     return rounded(rounded(out, 4, "avg_score"), 6, "standard_se", "fpc_factor", "adj_margin_of_error")
 
 

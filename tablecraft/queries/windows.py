@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablecraft.operators import windows as V
-from tablecraft.plans.registry import query, rounded
+from tablecraft.plans.registry import exact, mean_sql, query, rounded
 
 
 @query(
@@ -180,12 +180,13 @@ def first_last_value(t):
 
 @query(
     "wn11_avg_over",
-    """
-    SELECT s_suppkey, s_nationkey, s_acctbal, round(avg(s_acctbal) OVER (PARTITION BY s_nationkey), 4) AS average FROM supplier
+    f"""
+    SELECT s_suppkey, s_nationkey, s_acctbal, round({mean_sql('s_acctbal', 'OVER (PARTITION BY s_nationkey)')}, 4) AS average FROM supplier
     """,
 )
 def avg_over(t):
-    out = V.avg_over(t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal"), ["s_nationkey"], "s_acctbal")
+    suppliers = exact(t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal"), "s_acctbal")
+    out = V.avg_over(suppliers, ["s_nationkey"], "s_acctbal").withColumn("s_acctbal", F.col("s_acctbal").cast("double"))
     return rounded(out, 4, "average").orderBy("s_nationkey", "s_acctbal")
 
 
@@ -202,12 +203,15 @@ def avg_over_all(t):
     "wn12_avg_of_sum",
     """
     SELECT c_custkey, c_nationkey, round(sum(o_totalprice), 2) AS total,
-           round(avg(sum(o_totalprice)) OVER (PARTITION BY c_nationkey), 4) AS average_total
+           round(CAST(sum(sum(CAST(round(o_totalprice * 100) AS BIGINT))) OVER (PARTITION BY c_nationkey) AS DOUBLE)
+                 / (count(*) OVER (PARTITION BY c_nationkey) * 100), 4) AS average_total
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, c_nationkey
     """,
 )
 def avg_of_sum(t):
-    spent = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("spent"))
+    spent = exact(t.orders, "o_totalprice").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.sum("o_totalprice").cast("decimal(24,8)").alias("spent")
+    )
     rows = spent.join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
     out = V.avg_of_sum(rows, ["c_custkey", "c_nationkey"], ["c_nationkey"], "spent")
     return rounded(rounded(out, 2, "total"), 4, "average_total")
