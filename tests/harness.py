@@ -59,7 +59,7 @@ def as_rows(table: pa.Table):
 def compare(spark_df, con, sql: str) -> list[str]:
     """Differences as text; an empty list means equal."""
     n1, k1, r1 = as_rows(spark_df.toArrow())
-    n2, k2, r2 = as_rows(con.execute(sql).to_arrow_table())
+    n2, k2, r2 = as_rows(con.sql(sql).to_arrow_table())
     if n1 != n2:
         return [f"columns {n1} vs {n2}"]
     out = []
