@@ -62,7 +62,11 @@ def _bracketed(df: DataFrame, by: list[str], col: str, wanted: dict[str, float],
     if by:
         rows = attach(df, sketch, by, "left", hot)
     else:
-        rows = with_scalars(df, sketch)
+        # one row: as literals the later passes need not compute it again
+        rows_all, found_ends = sketch.first()
+        kind = df.schema[col].dataType
+        literals = [F.lit(e).cast(kind) for e in (found_ends or [None] * len(ends))]
+        rows = df.withColumns({"_all": F.lit(rows_all), "_ends": F.array(*literals)})
     names = list(wanted)
     # Far below the sketch's resolution a group is simply taken whole.
     whole = F.col("_all") <= 10 * ACCURACY
