@@ -15,6 +15,12 @@ from tablecraft.plans.storage import child_names, path_exists, remove_path, shar
 from tablecraft.sources.tables import MAX_RECORDS_PER_FILE
 
 
+# Messages of the quality gates.
+EMPTY_TABLE = "CRITICAL: Staging table is empty. Aborting load."
+TOO_MANY_NULLS = "QUALITY FAIL: Null {column} rate exceeds {rate:.0%}. Aborting."
+ZERO_TOTAL = "LOGIC FAIL: Total {column} is 0. Suspicious data."
+
+
 class GateFailed(RuntimeError):
     """A load was stopped before it reached production."""
 
@@ -141,13 +147,13 @@ def quality_gate(df: DataFrame, known: Sequence[str] = (), totals: Sequence[str]
     """Raise on an empty table, too many NULLs, or a zero total; else the metrics."""
     found = quality_metrics(df, known, totals).first().asDict()
     if found["total_rows"] == 0:
-        raise GateFailed("CRITICAL: Staging table is empty. Aborting load.")
+        raise GateFailed(EMPTY_TABLE)
     for c in known:
         if found[f"null_{c}"] / found["total_rows"] > max_null_rate:
-            raise GateFailed(f"QUALITY FAIL: Null {c} rate exceeds {max_null_rate:.0%}. Aborting.")
+            raise GateFailed(TOO_MANY_NULLS.format(column=c, rate=max_null_rate))
     for c in totals:
         if found[f"total_{c}"] == 0:
-            raise GateFailed(f"LOGIC FAIL: Total {c} is 0. Suspicious data.")
+            raise GateFailed(ZERO_TOTAL.format(column=c))
     return found
 
 

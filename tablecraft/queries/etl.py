@@ -174,6 +174,13 @@ REASON = """
 """
 
 
+# Reasons for quarantine, in the order they are tested.
+MISSING_KEY = "CRITICAL: Missing Primary Key"
+BAD_DATE = "ERROR: Invalid Date Format"
+BAD_AMOUNT = "ERROR: Non-Numeric Amount"
+NEGATIVE_AMOUNT = "LOGIC: Negative Amount"
+
+
 def _split(t):
     amount = F.col("l_quantity").cast("int").cast("string")
     raw = t.lineitem.select(
@@ -186,10 +193,10 @@ def _split(t):
     )
     day, money = F.col("event_date").try_cast("date"), F.col("amount").try_cast("decimal(18,2)")
     checks = [
-        ("CRITICAL: Missing Primary Key", F.col("user_id").isNull()),
-        ("ERROR: Invalid Date Format", day.isNull()),
-        ("ERROR: Non-Numeric Amount", money.isNull()),
-        ("LOGIC: Negative Amount", money < 0),
+        (MISSING_KEY, F.col("user_id").isNull()),
+        (BAD_DATE, day.isNull()),
+        (BAD_AMOUNT, money.isNull()),
+        (NEGATIVE_AMOUNT, money < 0),
     ]
     typed = {c: F.col(c) for c in ("l_orderkey", "l_linenumber", "user_id")} | {"event_date": day, "amount": money}
     return L.split_valid(raw, checks, typed)
