@@ -1,11 +1,13 @@
 """Where intermediate tables live, and how lineage is cut.
 
-On a cluster the shared folder is the one named by ``spark.checkpoint.dir``.
-Only where that setting is absent (tests, a laptop) a temporary folder is used.
+The shared folder is the one named by ``spark.checkpoint.dir``.  Where that
+setting is absent a temporary folder is used, but only on a local master: the
+executors of a cluster would each write to a disk of their own.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +23,9 @@ def shared_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError(f"set {_SETTING} to a folder that all executors of {master} share")
     root = tempfile.mkdtemp(prefix="tablecraft-")
     spark.sparkContext.setCheckpointDir(root)
     return root
@@ -62,8 +67,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def rename_path(spark: SparkSession, source: str, target: str) -> None:
-    fs, src = _path(spark, source)
-    _, dst = _path(spark, target)
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot rename {source} to {target}")
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage with a table in the shared folder: computed once, read by all later steps."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
