@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import packing, simhash, token_counts
+from tablecraft.llm import packing, simhash, token_counts, warc
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
 
@@ -44,3 +44,24 @@ def op2_best_fit_packing(t: Tables) -> DataFrame:
 @_query
 def op3_token_counts(t: Tables) -> DataFrame:
     return token_counts.token_counts(t.documents, _vocabulary())
+
+
+@_query
+def op5_warc(t: Tables) -> DataFrame:
+    read = warc.archive_and_read(t.pages)
+    return read.select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, g * 10 + 1, 10))::BIGINT >> (35 - 5 * d)) & 31)::INT, 1)"
+ORACLE_SQL["op5_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS keep FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+  (SELECT string_agg({_DIGIT}, '' ORDER BY g, d) FROM range(4) a(g), range(8) b(d)) AS payload_digest,
+  CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to
+FROM m
+"""
