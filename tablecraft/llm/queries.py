@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import packing, simhash, token_counts, warc
+from tablecraft.llm import packing, quality, simhash, token_counts, urls, warc
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
 
@@ -65,3 +65,20 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to
 FROM m
 """
+
+
+@_query
+def op9_quality_rules(t: Tables) -> DataFrame:
+    return quality.judge(t.documents, t.labels)
+
+
+#: Fixed rules of the contract.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+@_query
+def op10_url_filters(t: Tables) -> DataFrame:
+    return urls.judge(t.pages, URL_RULES)
