@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import packing, quality, simhash, token_counts, urls, warc
+from tablecraft.llm import align, packing, quality, simhash, spans, token_counts, urls, warc
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
 
@@ -82,3 +82,13 @@ URL_RULES = [
 @_query
 def op10_url_filters(t: Tables) -> DataFrame:
     return urls.judge(t.pages, URL_RULES)
+
+
+@_query
+def op6_decontamination(t: Tables) -> DataFrame:
+    return align.contaminated(t.documents, t.benchmark)
+
+
+@_query
+def op8_substring_dedup(t: Tables) -> DataFrame:
+    return spans.dedup_substrings(t.documents)
