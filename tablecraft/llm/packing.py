@@ -25,7 +25,7 @@ from tablecraft.plans.storage import written
 CAPACITY = 4096
 END_ID = 1
 #: Rows of one length that are ranked together.
-RANK_ROWS = 50_000
+RANK_ROWS = 1_000
 
 
 class Plan:

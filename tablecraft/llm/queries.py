@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import align, packing, quality, simhash, spans, token_counts, urls, warc
+from tablecraft.llm import align, packing, quality, simhash, spans, token_counts, toxicity, urls, warc
+from tablecraft.llm.text import remainder
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
 
@@ -92,3 +94,17 @@ def op6_decontamination(t: Tables) -> DataFrame:
 @_query
 def op8_substring_dedup(t: Tables) -> DataFrame:
     return spans.dedup_substrings(t.documents)
+
+
+@_query
+def op7_toxicity(t: Tables) -> DataFrame:
+    train = t.labels.filter(remainder("doc_id", 3) != 1)
+    model = toxicity.fit(t.documents, train)
+    return toxicity.score_texts(t.documents, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted"
+    )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
