@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import align, packing, quality, simhash, spans, token_counts, toxicity, urls, warc
+from tablecraft.llm import align, lm, packing, quality, simhash, spans, token_counts, toxicity, urls, warc
 from tablecraft.llm.text import remainder
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
@@ -108,3 +108,8 @@ def op7_toxicity(t: Tables) -> DataFrame:
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@_query
+def op4_language_model(t: Tables) -> DataFrame:
+    return lm.score_documents(t.documents, remainder("doc_id", 10) == 0)
