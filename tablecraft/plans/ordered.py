@@ -51,78 +51,115 @@ def _reverse(order: Order) -> list[tuple[str, bool]]:
     return [(c, not up) for c, up in order]
 
 
+# Bytes of a text, and bits of a whole number, that a double holds exactly.
+_TEXT_BYTES, _LOW_BITS = 6, 32
+
+
 def as_number(df: DataFrame, name: str) -> Column:
-    """A double that rises with the column; equal values stay equal."""
-    kind = df.schema[name].dataType
-    col = F.col(name)
+    """A double that never falls where the column rises; equal values stay equal.
+
+    NULL is the least value and NaN the greatest, as in Spark's sort order.
+    """
+    return _levels(df, name)[0][0]
+
+
+def _levels(df: DataFrame, name: str) -> list[tuple[Column, bool]]:
+    """Numbers whose order, one after the other, is that of the column.
+
+    The flag says that rows with equal numbers so far have equal values.  Texts are
+    read six bytes at a time, so a text column has as many levels as its longest
+    value needs; wide whole numbers are read in two halves.
+    """
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        longest = df.agg(F.max(F.octet_length(col))).first()[0] or 1
+        raw = col.cast("binary")
+        out = []
+        for at in range(1, longest + 1, _TEXT_BYTES):
+            digits = F.rpad(F.hex(F.substring(raw, at, _TEXT_BYTES)), 2 * _TEXT_BYTES, "0")
+            # one more, so that an end and a zero byte differ by the length that follows
+            out.append((F.conv(digits, 16, 10).cast("double"), False))
+        return [(_known(c), exact) for c, exact in [*out, (F.octet_length(col).cast("double"), True)]]
+    if isinstance(kind, T.LongType):
+        return [
+            (_known(F.shiftright(col, _LOW_BITS).cast("double")), False),
+            (_known(col.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).cast("double")), True),
+        ]
+    exact = True
     if isinstance(kind, T.TimestampNTZType):
         col = F.unix_micros(col.cast("timestamp"))
     elif isinstance(kind, T.TimestampType):
         col = F.unix_micros(col)
     elif isinstance(kind, T.DateType):
         col = F.unix_date(col)
+    elif isinstance(kind, T.BooleanType):
+        col = col.cast("int")
+    elif isinstance(kind, T.DecimalType):
+        exact = kind.precision <= 15
     elif not isinstance(kind, T.NumericType):
-        raise TypeError(f"cannot cut a group along {name}: {kind.simpleString()} has no number line")
-    return col.cast("double")
+        raise TypeError(f"cannot order by {name}: {kind.simpleString()}")
+    return [(_known(col.cast("double")), exact)]
+
+
+def _known(number: Column) -> Column:
+    return F.when(number.isNull(), F.lit(-math.inf)).when(F.isnan(number), F.lit(math.inf)).otherwise(number)
 
 
 def _cuts(hot_rows: DataFrame, max_rows: int) -> tuple[list[float], list[float]]:
     """Cut points along ``POS`` and the values so frequent that they fill a piece."""
-    rows = hot_rows.count()
-    pieces = min(MAX_PIECES, math.ceil(rows / max_rows))
-    probs = [i / pieces for i in range(1, pieces)]
-    found = hot_rows.approxQuantile(POS, probs, 1.0 / (4 * pieces)) if probs else []
+    pieces = min(MAX_PIECES, math.ceil(hot_rows.count() / max_rows))
+    # Two per piece, so that a value which fills one shows at least twice.
+    probs = [i / (2 * pieces) for i in range(1, 2 * pieces)] if pieces > 1 else []
+    found = hot_rows.approxQuantile(POS, probs, 1.0 / (8 * pieces)) if probs else []
     # A value that is several quantiles becomes a piece of its own.
     heavy = sorted(v for v, times in Counter(found).items() if times > 1)
-    return sorted(set(found) | {math.nextafter(v, math.inf) for v in heavy}), heavy
+    ends = set(found) | {math.nextafter(v, math.inf) for v in heavy}
+    return sorted(v for v in ends if -math.inf < v < math.inf), heavy
 
 
 def cut(
-    df: DataFrame, by: Sequence[str], order: Order, max_rows: Limit = MAX_ROWS
+    df: DataFrame, by: Sequence[str], order: Order, max_rows: Limit = MAX_ROWS, ties: bool = True
 ) -> tuple[DataFrame, Hot, list[float]] | None:
-    """Rows with their piece number, hot groups cut along the first order column.
+    """Rows with their piece number, hot groups cut along their order.
 
     Returns None when no group is hot.  Pieces are numbered in the order of the
-    rows; rows of other groups are all in piece 0.  Rows that tie on the first
-    order column stay together, except that a very frequent value is cut further
-    along the second order column if there is one.
+    rows; rows of other groups are all in piece 0.  Values so frequent that they
+    fill a piece are cut further along what orders them next: the rest of a text or
+    wide number, the next order column, and at last a hash of the whole row, since
+    rows that tie in every order column may come in any order.  With ``ties=False``
+    only the first number of the first order column cuts, and ties stay together.
     """
     hot = find_hot(df, by, max_rows)
     if hot is None:
         return None
-    name, up = order[0]
-    rows = mark_hot(df, by, hot).withColumn(POS, as_number(df, name))
-    if name not in hot.cuts:
-        hot.cuts[name] = _cuts(rows.filter(F.col(HOT).isNotNull() & F.col(POS).isNotNull()), hot.max_rows)
-    cuts, heavy = hot.cuts[name]
-    bucket = _bucket(rows, POS, cuts, "_bucket")
-    place = F.col("_bucket") if up else -F.col("_bucket")
-    # NULLs come first when rising and last when falling
-    piece = F.when(F.col(HOT).isNull(), 0).when(F.col(POS).isNull(), F.lit(-1 if up else 1)).otherwise(place)
-    placed = bucket.withColumn(PIECE, piece.cast("long")).drop("_bucket")
-    if heavy and len(order) > 1:
-        placed = _cut_ties(placed, heavy, order[1], hot)
-    return placed, hot, cuts
-
-
-def _cut_ties(rows: DataFrame, heavy: list[float], order: tuple[str, bool], hot: Hot) -> DataFrame:
-    """Divide the pieces that hold one frequent value along the next order column."""
-    name, up = order
-    try:
-        number = as_number(rows, name)
-    except TypeError:
-        return rows
-    tied = F.col(HOT).isNotNull() & F.col(POS).isin(heavy)
-    within = rows.filter(tied).select(number.alias(POS))
-    key = f"{name} within ties"
-    if key not in hot.cuts:
-        hot.cuts[key] = _cuts(within.filter(F.col(POS).isNotNull()), hot.max_rows)
-    cuts, _ = hot.cuts[key]
-    inner = _bucket(rows.withColumn("_pos2", number), "_pos2", cuts, "_inner")
-    span = len(cuts) + 4
-    place = F.col("_inner") + 2 if up else len(cuts) + 1 - F.col("_inner")
-    step = F.when(~tied, 0).when(F.col("_pos2").isNull(), F.lit(1 if up else span - 1)).otherwise(place)
-    return inner.withColumn(PIECE, F.col(PIECE) * span + step).drop("_pos2", "_inner")
+    rows = mark_hot(df, by, hot).withColumn(PIECE, F.lit(0).cast("long"))
+    active, firsts = F.col(HOT).isNotNull(), None
+    depth = 0
+    for name, up in [*order, (None, True)] if ties else order[:1]:
+        if name is None:
+            levels = [(F.xxhash64(*[F.col(c) for c in df.columns]).cast("double"), True)]
+        else:
+            levels = _levels(df, name)
+        exact = False
+        for number, exact in levels if ties else levels[:1]:
+            pos = f"{POS}{depth}" if depth else POS
+            rows = rows.withColumn(pos, number)
+            place = f"{depth}:{name}:{','.join(c for c, _ in order)}"
+            if place not in hot.cuts:
+                hot.cuts[place] = _cuts(rows.filter(active).withColumn(POS, F.col(pos)), hot.max_rows)
+            cuts, heavy = hot.cuts[place]
+            firsts = cuts if firsts is None else firsts
+            span = len(cuts) + 1
+            rows = _bucket(rows, pos, cuts, "_bucket")
+            step = F.when(~active, 0).otherwise(F.col("_bucket") if up else span - 1 - F.col("_bucket"))
+            rows = rows.withColumn(PIECE, (F.col(PIECE) * span + step).cast("long")).drop("_bucket")
+            active = active & F.col(pos).isin(heavy) if heavy else F.lit(False)
+            depth += 1
+            if not heavy:
+                break
+        if not heavy or not exact:
+            break
+    return rows.drop(*[f"{POS}{k}" for k in range(1, depth)]), hot, firsts
 
 
 def _bucket(rows: DataFrame, pos: str, cuts: list[float], out: str) -> DataFrame:
@@ -193,16 +230,22 @@ def running(
     local = rows.withColumns({out: _RUN[fn](values[out]).over(w) for out, (fn, _) in aggs.items()})
     if done is None:
         return local
+    in_order = W.partitionBy(*keys).orderBy(*_sort(order))
+    lasts = {f"_own_{out}": values[out] for out, (fn, _) in aggs.items() if fn == "last"}
+    if lasts:
+        # One sort gives the window and the place in it.
+        marks = {n: c for n, c in lasts.items()} | {"_at": F.row_number().over(in_order)}
+        local = rows.withColumns(marks).withColumns({out: _RUN[fn](values[out]).over(w) for out, (fn, _) in aggs.items()})
 
     parts = []
     for out, (fn, _) in aggs.items():
         if fn == "last":
-            # the last non-null value in row order, as a mergeable aggregate
-            at = F.when(values[out].isNotNull(), F.struct(*_rank_key(df, order)))
-            parts.append(F.max_by(values[out], at).alias(f"_part_{out}"))
+            # what the last row of the piece hands on, as a mergeable aggregate
+            handed = F.struct(F.coalesce(F.col(f"_own_{out}"), F.col(out)).alias("v"))
+            parts.append(F.max_by(handed, "_at")["v"].alias(f"_part_{out}"))
         else:
             parts.append(_RUN[fn](values[out]).alias(f"_part_{out}"))
-    summary = _piece_summary(rows, by, parts)
+    summary = _piece_summary(local if lasts else rows, by, parts)
     w_before = _earlier(by)
     carry = summary.select(
         *by,
@@ -231,17 +274,6 @@ def _running_peers(df: DataFrame, by: list[str], order: Order, aggs: dict, value
     return attach(df.drop(*aggs), line, at, "left", hot.max_rows)
 
 
-def _rank_key(df: DataFrame, order: Order) -> list[Column]:
-    """Columns whose struct order equals the sort order."""
-    key = []
-    for name, up in order:
-        if up:
-            key.append(F.col(name))
-        else:
-            key.append(-as_number(df, name))
-    return key
-
-
 def last_known(
     df: DataFrame, by: Sequence[str], order: Order, cols: dict[str, str | Column],
     current: bool = True, max_rows: Limit = MAX_ROWS,
@@ -326,7 +358,8 @@ def framed(
         .withColumn("_shift", F.explode(F.array_compact(spots)))
         .withColumn("_block", F.col("_home") + F.col("_shift"))
     )
-    wide = copies.withColumns(columns(W.partitionBy(*by, "_block").orderBy(*_sort(order))))
+    # by row number: ties keep the order they were numbered in
+    wide = copies.withColumns(columns(W.partitionBy(*by, "_block").orderBy("_rn")))
     return wide.filter(F.col("_shift") == 0).drop("_rn", "_home", "_shift", "_block")
 
 
@@ -344,8 +377,9 @@ def time_framed(
     """
     by = list(by)
     reach = seconds * 1_000_000
-    micros = df.withColumn("_us", as_number(df, ts).cast("long"))
-    done = cut(micros, by, [("_us", True)], max_rows)
+    micros = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    timed = micros.withColumn("_pos_us", F.col("_us").cast("double"))
+    done = cut(timed, by, [("_pos_us", True)], max_rows, ties=False)
     if done is None:
         w = W.partitionBy(*by).orderBy("_us").rangeBetween(-reach, 0)
         return micros.withColumns(columns(w)).drop("_us")
@@ -355,7 +389,7 @@ def time_framed(
     copies = ahead.withColumn("_at", F.explode(F.sequence(F.col(PIECE), last.cast("long"))))
     w = W.partitionBy(*by, "_at").orderBy("_us").rangeBetween(-reach, 0)
     wide = copies.withColumns(columns(w))
-    return wide.filter(F.col("_at") == F.col(PIECE)).drop("_us", "_at", "_until", "_reach", PIECE, POS, HOT)
+    return wide.filter(F.col("_at") == F.col(PIECE)).drop("_us", "_at", "_until", "_reach", "_pos_us", PIECE, POS, HOT)
 
 
 def tiles(df: DataFrame, by: Sequence[str], order: Order, n: int, out: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
