@@ -39,7 +39,8 @@ def host_of(url: str) -> Column:
 
 
 def contains_token(col: str, token: str) -> Column:
-    return F.instr(F.col(col), token) > 0
+    """Substring test; as a filter the scan gets it as StringContains."""
+    return F.col(col).contains(token)
 
 
 def safe_int(col: str) -> Column:

@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecraft.plans.skew import MAX_ROWS, Limit, over_group, with_scalars
-from tablecraft.plans.storage import child_names, path_exists, remove_path, shared_dir
-from tablecraft.sources.tables import MAX_RECORDS_PER_FILE
+from tablecraft.plans.storage import path_exists, remove_path, shared_dir
+from tablecraft.sources.tables import MAX_RECORDS_PER_FILE, folder_values
 
 
 # Messages of the quality gates.
@@ -34,17 +35,21 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def _pointers(spark: SparkSession, root: str) -> list:
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/pointer"
     if not path_exists(spark, path):
-        return []
-    # one row per publication of this table
-    return spark.read.schema(_POINTER).parquet(path).orderBy("seq").collect()
+        return spark.createDataFrame([], _POINTER)
+    return spark.read.schema(_POINTER).parquet(path)
+
+
+def _latest(pointers: DataFrame):
+    """The last publication: one row, whatever the length of the history."""
+    return pointers.agg(F.max("seq").alias("seq"), F.max_by("version", "seq").alias("version")).first()
 
 
 def _point(spark: SparkSession, root: str, version: str) -> None:
-    seen = _pointers(spark, root)
-    row = [(seen[-1].seq + 1 if seen else 0, version, _now())]
+    last = _latest(_pointers(spark, root)).seq
+    row = [(0 if last is None else last + 1, version, _now())]
     spark.createDataFrame(row, _POINTER).coalesce(1).write.mode("append").parquet(f"{root}/pointer")
 
 
@@ -67,8 +72,7 @@ def publish(df: DataFrame, root: str, min_rows: int = 1, version: str | None = N
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    seen = _pointers(spark, root)
-    return seen[-1].version if seen else None
+    return _latest(_pointers(spark, root)).version
 
 
 def current(spark: SparkSession, root: str, schema: T.StructType | None = None, view: str | None = None) -> DataFrame:
@@ -85,12 +89,13 @@ def current(spark: SparkSession, root: str, schema: T.StructType | None = None,
 
 def rollback(spark: SparkSession, root: str) -> str:
     """Point back to the version before the current one."""
-    seen = [p.version for p in _pointers(spark, root)]
-    earlier = [v for v in seen[:-1] if v != seen[-1]] if seen else []
-    if not earlier:
+    pointers = _pointers(spark, root)
+    now = _latest(pointers).version
+    earlier = _latest(pointers.filter(F.col("version") != F.lit(now))).version if now is not None else None
+    if earlier is None:
         raise GateFailed("no earlier version to go back to")
-    _point(spark, root, earlier[-1])
-    return earlier[-1]
+    _point(spark, root, earlier)
+    return earlier
 
 
 # -- job log -----------------------------------------------------------------
@@ -200,12 +205,13 @@ def save_mark(spark: SparkSession, path: str, table: str, mark) -> None:
 
 
 def incremental(source: DataFrame, ts: str, mark) -> tuple[DataFrame, object]:
-    """Rows newer than the mark, and the mark to store once they are loaded.
+    """Rows at or after the mark, and the mark to store once they are loaded.
 
     The new mark is the latest time seen, not the clock, so rows that were still
-    under way are picked up by the next run.
+    under way are picked up by the next run.  Rows at the mark itself come again,
+    since others of that time may have arrived later: load them with an upsert.
     """
-    fresh = source if mark is None else source.filter(F.col(ts) > F.lit(mark))
+    fresh = source if mark is None else source.filter(F.col(ts) >= F.lit(mark))
     latest = fresh.agg(F.max(ts)).first()[0]
     return fresh, latest if latest is not None else mark
 
@@ -225,22 +231,24 @@ def upsert(
 ) -> DataFrame:
     """Matched rows take the source's ``update`` columns, unmatched rows are added.
 
-    A full outer join on the keys; a repeated run gives the same table.  With
-    ``newest``, only the newest source row of each key is used; with ``if_newer``,
+    A full outer join on the keys, in which NULL equals NULL; a repeated run gives
+    the same table.  With ``newest``, only the newest source row of each key is used; with ``if_newer``,
     a matched row is left alone when its own value of that column is later.
     """
     if newest:
         source = latest_per_key(source, keys, newest)
     old = target.withColumn("_old", F.lit(True))
-    new = source.withColumnsRenamed({c: f"_n_{c}" for c in source.columns if c not in keys}).withColumn("_new", F.lit(True))
-    both = old.join(new, list(keys), "full_outer")
+    new = source.withColumnsRenamed({c: f"_n_{c}" for c in source.columns}).withColumn("_new", F.lit(True))
+    both = old.join(new, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys]), "full_outer")
 
     take = F.col("_new")
     if if_newer:
         take = take & ~F.coalesce(F.col(if_newer) > F.col(f"_n_{if_newer}"), F.lit(False))
 
     def value(c: str) -> Column:
-        if c in keys or c not in source.columns:
+        if c in keys:
+            return F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_n_{c}")).alias(c)
+        if c not in source.columns:
             return F.col(c)
         if c in update:
             return F.when(take, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
@@ -255,14 +263,21 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions the source touches.
 
-    ``by`` must be one of the keys, so a row never moves between partitions.
+    ``by`` must be one of the keys, so a row never moves between partitions.  Rows
+    without a partition value are in the NULL folder, which is touched like any other.
     """
     if by not in keys:
         raise ValueError(f"{by} must be a key column")
     # one value per touched folder
     touched = [r[0] for r in source.select(by).distinct().collect()]
-    target = spark.read.parquet(path)
-    part = target.filter(F.col(by).isin(touched)).withColumn(by, F.col(by).cast(source.schema[by].dataType))
+    found = spark.read.parquet(path).schema
+    # Read with the source's type of the folder value, so that the filter prunes folders.
+    typed = T.StructType([T.StructField(f.name, source.schema[by].dataType if f.name == by else f.dataType) for f in found])
+    known = [v for v in touched if v is not None]
+    hit = F.col(by).isin(known) if known else F.lit(False)
+    if len(known) < len(touched):
+        hit = hit | F.col(by).isNull()
+    part = spark.read.schema(typed).parquet(path).filter(hit)
     staged = shared_dir(spark, "upsert")
     merged = upsert(part, source, keys, update, newest)
     merged.write.parquet(staged)
@@ -292,11 +307,17 @@ def delete_where(df: DataFrame, cond: Column) -> DataFrame:
     return df.filter(~F.coalesce(cond, F.lit(False)))
 
 
-def purge_partitions(spark: SparkSession, path: str, by: str, before: str) -> int:
-    """Drop the partition folders below a value one by one; how many went."""
+def purge_partitions(spark: SparkSession, path: str, by: str, before) -> int:
+    """Drop the partition folders below a value one by one; how many went.
+
+    Values are compared in the type that Spark reads the folders with, not as text.
+    The NULL folder is below nothing and stays.
+    """
+    kind = spark.read.parquet(path).schema[by].dataType
     gone = 0
-    for folder in child_names(spark, path):
-        if folder.startswith(f"{by}=") and folder.split("=", 1)[1] < before:
+    values = folder_values(spark, path, by, kind)
+    for folder, is_below in values.select("folder", (F.col("value") < F.lit(before).cast(kind)).alias("below")).collect():
+        if is_below:
             remove_path(spark, f"{path}/{folder}")
             gone += 1
     return gone

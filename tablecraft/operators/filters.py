@@ -125,11 +125,11 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def prefix_match(df: DataFrame, col: str, letter: str) -> DataFrame:
-    """Rows whose text starts with the letter."""
-    return df.filter(F.substring(col, 1, len(letter)) == letter)
+    """Rows whose text starts with the letter; the scan gets it as StringStartsWith."""
+    return df.filter(F.col(col).startswith(letter))
 
 
-def node_type(edges: DataFrame, node: str, parent: str, nodes_only: bool = False) -> DataFrame:
+def node_type(edges: DataFrame, node: str, parent: str) -> DataFrame:
     """Root, Inner or Leaf for each (node, parent) row.
 
     Nodes that have children come from one distinct over the parent column, so a

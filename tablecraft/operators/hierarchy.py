@@ -8,6 +8,7 @@ lost executor costs one round at most.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ class TooLarge(ValueError):
     """The result would pass the stated limit."""
 
 
-def _rounds(frontier: DataFrame, step, max_rounds: int) -> DataFrame:
+def _rounds(frontier: DataFrame, step, max_rounds: int | None) -> DataFrame:
     """All rows of ``frontier`` and of the rounds that follow until one is empty.
 
     Every round is written to its own folder and read back, and the result is
@@ -28,7 +29,7 @@ def _rounds(frontier: DataFrame, step, max_rounds: int) -> DataFrame:
     """
     spark, schema = frontier.sparkSession, frontier.schema
     root = shared_dir(spark, "rounds")
-    for number in range(max_rounds + 1):
+    for number in count() if max_rounds is None else range(max_rounds + 1):
         path = f"{root}/round={number}"
         frontier.write.parquet(path)
         done = spark.read.schema(schema).parquet(path)
@@ -39,7 +40,7 @@ def _rounds(frontier: DataFrame, step, max_rounds: int) -> DataFrame:
 
 
 def descendants(
-    edges: DataFrame, node: str, parent: str, root, sep: str = ">", max_levels: int = 10_000
+    edges: DataFrame, node: str, parent: str, root, sep: str = ">", max_levels: int | None = None
 ) -> DataFrame:
     """The root and everyone below it, with generation and path from the root.
 
@@ -47,24 +48,23 @@ def descendants(
     """
     people = edges.select(node, parent)
     start = people.filter(F.col(node) == root).select(
-        node, parent, F.lit(1).alias("generation"), F.col(node).cast("string").alias("path")
+        node, parent, F.lit(1).alias("generation"), F.array(F.col(node).cast("string")).alias("path")
     )
     child = people.select(F.col(node).alias("_node"), F.col(parent).alias("_parent"))
 
     def step(frontier: DataFrame) -> DataFrame:
         below = frontier.join(child, F.col("_parent") == F.col(node))
         name = F.col("_node").cast("string")
-        inside = F.concat(F.lit(sep), F.col("path"), F.lit(sep))
-        fresh = below.filter(F.position(F.concat(F.lit(sep), name, F.lit(sep)), inside) == 0)
-        return fresh.select(
+        return below.filter(~F.array_contains("path", name)).select(
             F.col("_node").alias(node), F.col("_parent").alias(parent), (F.col("generation") + 1).alias("generation"),
-            F.concat("path", F.lit(sep), name).alias("path"),
+            F.array_append("path", name).alias("path"),
         )
 
-    return _rounds(start, step, max_levels)
+    # The path is a list until the end, since a name may hold the separator.
+    return _rounds(start, step, max_levels).withColumn("path", F.array_join("path", sep))
 
 
-def hierarchy_levels(rows: DataFrame, id_: str, parent: str, roots, max_levels: int = 10_000) -> DataFrame:
+def hierarchy_levels(rows: DataFrame, id_: str, parent: str, roots, max_levels: int | None = None) -> DataFrame:
     """Rows below the given roots (a condition) with their level, 1 for the roots.
 
     A row has one parent, so a cycle cannot be reached from a root without one.
@@ -79,17 +79,17 @@ def hierarchy_levels(rows: DataFrame, id_: str, parent: str, roots, max_levels:
     return _rounds(start, step, max_levels)
 
 
-def combos(df: DataFrame, item_id: str, item_name: str, depth: int = 3, max_rows: int = 1_000_000_000) -> DataFrame:
+def combos(df: DataFrame, item_id: str, item_name: str, depth: int = 3, max_rows: int | None = None) -> DataFrame:
     """Item sequences of length 1 to ``depth``, repetition allowed.
 
     The rows of one depth are numbered 0 to n^d - 1 on the executors and each
     number is read as ``d`` digits that look up their items, so the work is
-    spread by number.  The result has n + n^2 + ... rows by definition; past
-    ``max_rows`` it is refused before anything is made.
+    spread by number.  The result has n + n^2 + ... rows by definition; with
+    ``max_rows`` a larger one is refused before anything is made.
     """
     n = df.count()
     total = sum(n**d for d in range(1, depth + 1))
-    if total > max_rows:
+    if max_rows is not None and total > max_rows:
         raise TooLarge(f"{total} combinations, the limit is {max_rows}")
     spark = df.sparkSession
     single = df.select(
@@ -98,7 +98,6 @@ def combos(df: DataFrame, item_id: str, item_name: str, depth: int = 3, max_rows
     )
     if depth == 1 or n == 0:
         return single
-    # n is at most the square root of max_rows here
     rows = df.select(F.col(item_id).alias("_id"), F.col(item_name).alias("_name"))
     numbered = ranked(rows, [], order_of("_id", "_name"), row_number="_rn")
     listed = numbered.select("_id", "_name", (F.col("_rn") - 1).cast("long").alias("_at"))
@@ -109,7 +108,8 @@ def combos(df: DataFrame, item_id: str, item_name: str, depth: int = 3, max_rows
             digit = F.floor(F.col("id") / F.lit(n ** (d - 1 - j))) % n
             rows = rows.withColumn("_at", digit.cast("long"))
             item = listed.select(F.col("_at"), F.col("_id").alias(f"_id{j}"), F.col("_name").alias(f"_name{j}"))
-            rows = rows.join(F.broadcast(item), "_at").drop("_at")
+            # AQE broadcasts the items where their measured size allows
+            rows = rows.join(item, "_at").drop("_at")
         out.append(
             rows.select(
                 F.col("_id0").alias("item_id"), F.col(f"_name{d - 1}").alias("item_name"), F.lit(d).alias("depth"),
@@ -120,7 +120,7 @@ def combos(df: DataFrame, item_id: str, item_name: str, depth: int = 3, max_rows
 
 
 def cheapest_paths(
-    edges: DataFrame, start: str, end: str, cost: str, source, max_rounds: int = 10_000
+    edges: DataFrame, start: str, end: str, cost: str, source, max_rounds: int | None = None
 ) -> DataFrame:
     """Cheapest path from the source to every hub it reaches.
 
@@ -139,7 +139,7 @@ def cheapest_paths(
     )
     best = checkpointed(begin)
     frontier = best
-    for _ in range(max_rounds):
+    for _ in count() if max_rounds is None else range(max_rounds):
         tried = frontier.join(lanes, F.col("hub") == F.col("_from")).select(
             F.col("_to").alias("hub"), (F.col("total_cost") + F.col("_cost")).alias("total_cost"),
             F.array_append("path", F.col("_to")).alias("path"),

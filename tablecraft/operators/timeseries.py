@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tablecraft.functions.exprs import cyclic, dow0, seconds_between, width_bucket_col
 from tablecraft.plans.ordered import PIECE, cut, framed, last_known, next_known, order_of, running
 from tablecraft.plans.quantiles import percentiles
-from tablecraft.plans.skew import HOT, MAX_ROWS, Limit, find_hot, join_keys, with_scalars
+from tablecraft.plans.skew import HOT, MAX_ROWS, Limit, attach, find_hot, join_keys, with_scalars
 
 
 def bucket_start(ts: str, seconds: int) -> Column:
@@ -189,43 +189,58 @@ def ema(
     return joined.withColumn(out, fixed).select(*df.columns, out)
 
 
+# Steps of a grid that one row is spread to at a time.
+_GRID_CHUNK = 10_000
+
+
 def _grid(latest: DataFrame, keys: DataFrame, key: str, seconds: int, low: str, high: str) -> DataFrame:
-    """One row per key and step; ``low`` and ``high`` are columns of ``keys``."""
+    """One row per key and step; ``low`` and ``high`` are columns of ``keys``.
+
+    A key's steps are made in two moves, chunks and then steps, so no cell is as long
+    as a grid.
+    """
     step = F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
-    slots = F.sequence(F.lit(0).cast("long"), F.floor(seconds_between(high, low) / seconds))
-    spots = keys.select(key, low, F.explode(slots).alias("_slot"))
-    filled = spots.join(latest, [key, "_slot"], "left")
+    last = F.floor(seconds_between(high, low) / seconds)
+    chunks = keys.withColumn("_last", last).select(
+        key, low, "_last", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(_GRID_CHUNK).cast("long"))).alias("_from")
+    )
+    ends = F.least(F.col("_last"), F.col("_from") + _GRID_CHUNK - 1)
+    # spread out before the steps are made: a chunk is a row, a step is one too
+    spots = chunks.hint("rebalance").select(key, low, F.explode(F.sequence(F.col("_from"), ends)).alias("_slot"))
+    filled = join_keys(spots, latest, [key, "_slot"], "left")
     return filled.withColumn("bucket_ts", F.col(low) + step * F.col("_slot"))
 
 
 def grid_ffill(
-    df: DataFrame, key: str, ts: str, value: str, seconds: int, tie: Sequence[str] = (), out: str = "imputed_value"
+    df: DataFrame, key: str, ts: str, value: str, seconds: int, tie: Sequence[str] = (), out: str = "imputed_value",
+    max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """A regular grid per key over the whole table's time range.
 
     Each bucket shows its latest value, or the last known one before it; buckets
     before the key's first value are NULL.  Rows are reduced to one per bucket
-    first, so a key's ordered scan is as long as the grid and no longer.
+    first; a grid longer than ``max_rows`` is scanned in pieces.  A NULL key is a
+    key like any other.
     """
     span = df.agg(F.min(ts).alias("_low"), F.max(ts).alias("_high"))
     placed = with_scalars(df, span).withColumn("_slot", F.floor(seconds_between(ts, "_low") / seconds))
     latest = placed.groupBy(key, "_slot").agg(F.max_by(value, F.struct(ts, *tie)).alias("_v"))
     keys = with_scalars(df.select(key).distinct(), span)
     grid = _grid(latest, keys, key, seconds, "_low", "_high")
-    w = W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
-    return grid.select(key, "bucket_ts", F.last("_v", ignorenulls=True).over(w).alias(out))
+    filled = last_known(grid, [key], order_of("_slot"), {out: "_v"}, max_rows=max_rows)
+    return filled.select(key, "bucket_ts", out)
 
 
-def gap_fill_prev(df: DataFrame, key: str, ts: str, value: str, seconds: int = 3600, tie: Sequence[str] = ()) -> DataFrame:
+def gap_fill_prev(
+    df: DataFrame, key: str, ts: str, value: str, seconds: int = 3600, tie: Sequence[str] = (), max_rows: Limit = MAX_ROWS
+) -> DataFrame:
     """Each key on its own regular spine, gaps filled with the value before."""
     spans = df.groupBy(key).agg(F.min(ts).alias("_low"), F.max(ts).alias("_high"))
-    placed = df.join(spans, key).withColumn("_slot", F.floor(seconds_between(ts, "_low") / seconds))
+    placed = attach(df, spans, [key], "inner", max_rows).withColumn("_slot", F.floor(seconds_between(ts, "_low") / seconds))
     latest = placed.groupBy(key, "_slot").agg(F.max_by(value, F.struct(ts, *tie)).alias("_v"))
     grid = _grid(latest, spans, key, seconds, "_low", "_high")
-    w = W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
-    return grid.select(
-        key, F.col("bucket_ts").alias(ts), F.coalesce("_v", F.last("_v", ignorenulls=True).over(w)).alias(value)
-    )
+    filled = last_known(grid, [key], order_of("_slot"), {"_filled": "_v"}, max_rows=max_rows)
+    return filled.select(key, F.col("bucket_ts").alias(ts), F.col("_filled").alias(value))
 
 
 def calendar_dim(spark: SparkSession, low: str, high: str) -> DataFrame:

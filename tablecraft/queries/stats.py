@@ -102,7 +102,7 @@ def mad_score_cut(t):
     "ml7_mean_ci",
     """
     WITH a AS (SELECT o_orderpriority, avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s, count(o_totalprice) AS n FROM orders
-               WHERE o_orderdate >= TIMESTAMP '2001-08-01' - INTERVAL 365 DAY GROUP BY 1 HAVING count(o_totalprice) > 1)
+               WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 365 DAY GROUP BY 1 HAVING count(o_totalprice) > 1)
     SELECT o_orderpriority, round(m, 2) AS mean, round(1.96 * s / sqrt(n), 2) AS margin_of_error,
            round(m - 1.96 * s / sqrt(n), 2) AS ci_lower_bound, round(m + 1.96 * s / sqrt(n), 2) AS ci_upper_bound,
            CASE WHEN m - 1.96 * s / sqrt(n) > 245000 THEN 'Significant Success ✅' ELSE 'Noise / Inconclusive ⚠️' END AS statistical_verdict
@@ -110,7 +110,8 @@ def mad_score_cut(t):
     """,
 )
 def mean_ci(t):
-    since = F.col("o_orderdate") >= F.lit("2000-08-01").cast("timestamp_ntz")
+    newest = t.orders.agg(F.max("o_orderdate").alias("newest")).scalar()
+    since = F.col("o_orderdate") >= newest - F.expr("INTERVAL 365 DAYS")
     out = S.mean_ci(t.orders, ["o_orderpriority"], "o_totalprice", 245000, since)
     return rounded(out, 2, "mean", "margin_of_error", "ci_lower_bound", "ci_upper_bound")
 

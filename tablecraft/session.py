@@ -15,8 +15,15 @@ RUNTIME_CONF = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators expect on an existing session."""
+def tune(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
+    """Set the runtime options the operators expect on an existing session.
+
+    ``initial_partitions`` is the number of shuffle partitions AQE starts from and
+    merges down: about the input size over 128 MB.  AQE does not split partitions
+    outside skewed joins, so large inputs need it.
+    """
+    if initial_partitions:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ __all__ = [
     "scan", "load_csv", "literal_rows", "write_json_records", "read_json_records", "append", "ctas",
     "empty_like", "with_added_column", "without_column", "drop_table", "write_partitioned",
     "scan_partitions", "write_list_partitioned", "scan_list_partitioned", "move_rows", "write_hash_partitioned",
-    "partitioned_table", "detach_partition", "attach_partition", "adopt_table", "generate_rows",
+    "partitioned_table", "detach_partition", "attach_partition", "adopt_table", "generate_rows", "folder_values",
 ]
 
 MAX_RECORDS_PER_FILE = 10_000_000
@@ -128,10 +129,20 @@ def move_rows(
     _by_partition(fresh, flag).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         flag
     ).parquet(path)
-    left = {r[0] for r in fresh.select(flag).distinct().collect()}
-    for old in set(touched) - left:
-        folder = "__HIVE_DEFAULT_PARTITION__" if old is None else str(old).lower()
-        remove_path(spark, f"{path}/{flag}={folder}")
+    emptied = set(touched) - {r[0] for r in fresh.select(flag).distinct().collect()}
+    for folder, held in folder_values(spark, path, flag, table.schema[flag].dataType).collect():
+        if held in emptied:
+            remove_path(spark, f"{path}/{folder}")
+
+
+def folder_values(spark: SparkSession, path: str, by: str, kind) -> DataFrame:
+    """``(folder, value)`` of each partition folder, the value typed and NULL for the NULL folder."""
+    found = []
+    for folder in child_names(spark, path):
+        name, _, text = folder.partition("=")
+        if name == by:
+            found.append((folder, None if text == "__HIVE_DEFAULT_PARTITION__" else unquote(text)))
+    return spark.createDataFrame(found, "folder string, value string").withColumn("value", F.col("value").cast(kind))
 
 
 def write_hash_partitioned(df: DataFrame, path: str, key: str, n: int = 3, bucket: str = "bucket") -> None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,14 +85,17 @@ def stream_upsert(
 ) -> None:
     """Upsert every micro-batch into the published table under ``root``.
 
-    A row that arrives after a newer one of its key changes nothing.  The version is named after the batch, so a batch that is run again writes the
-    same version again and the result stays the same.
+    A row that arrives after a newer one of its key changes nothing.  The version is
+    named after the checkpoint and the batch, so a batch that is run again writes the
+    same version again, and another query on the same table never takes its name.
     """
     spark = stream.sparkSession
     schema = stream.schema
+    checkpoint = checkpoint or shared_dir(spark, "upsert-state")
+    feed = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint.rstrip("/")).hex[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        version = f"batch-{batch_id:09d}"
+        version = f"{feed}-{batch_id:09d}"
         now = etl.current_version(spark, root)
         if now == version:
             return
@@ -100,7 +105,7 @@ def stream_upsert(
         etl.publish(fresh, root, min_rows=0, version=version)
 
     query = (
-        stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint or shared_dir(spark, "upsert-state"))
+        stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -151,13 +156,19 @@ def stream_state_runs(stream: DataFrame, key: str, ts: str, state: str, value: s
         closed = []
         ready = [row for row in waiting if row[0] <= passed]
         waiting = waiting[len(ready):]
-        for at, now in ready:
-            if now:
-                start, n = (start, n + 1) if inside else (at, 1)
-                end = at
-            elif inside:
-                closed.append((keys[0], pd.Timestamp(start, unit="us"), pd.Timestamp(end, unit="us"), n))
-            inside = bool(now)
+        if ready:
+            at = np.array([row[0] for row in ready], np.int64)
+            now = np.array([bool(row[1]) for row in ready])
+            before = np.concatenate([[inside], now[:-1]])
+            opened, shut = np.flatnonzero(now & ~before), np.flatnonzero(~now & before)
+            total = np.concatenate([[0], np.cumsum(now)])
+            begins = [*([(start, -n)] if inside else []), *((int(at[i]), int(total[i])) for i in opened)]
+            for (began, counted), i in zip(begins, shut):
+                last = int(at[i - 1]) if i else end
+                closed.append((keys[0], pd.Timestamp(began, unit="us"), pd.Timestamp(last, unit="us"), int(total[i]) - counted))
+            if inside := bool(now[-1]):
+                start, counted = begins[-1]
+                n, end = int(total[-1]) - counted, int(at[-1])
         held.update((inside, start, end, n, [w[0] for w in waiting], [bool(w[1]) for w in waiting]))
         if waiting:
             held.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, held.getCurrentWatermarkMs() + 1))
