@@ -54,7 +54,8 @@ def stream_events(t):
 @query(
     "sm2_stream_buckets",
     """
-    SELECT event_type, date_trunc('hour', ts) AS window_ts, count(*) AS n, max(value) AS max_value FROM events
+    SELECT event_type, date_trunc('hour', ts) AS window_ts, count(*) AS n, max(value) AS max_value,
+           quantile_disc(value, 0.99) AS p99_value FROM events
     GROUP BY 1, 2 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <=
       (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)
     """,
@@ -63,7 +64,7 @@ def stream_buckets(t):
     stream = _source(t)
     return S.run_to_files(
         S.stream_buckets(stream, "event_type", "ts", "value", "1 hour", "10 minutes"), "buckets", spark=t.spark
-    ).drop("p99_value")
+    )
 
 
 @query(
@@ -118,11 +119,10 @@ def stream_interval_join(t):
 @query(
     "sm6_stream_state_runs",
     """
-    WITH a AS (SELECT user_id, ts, event_type = 'error' AS err, CASE WHEN event_type = 'error' AND
-        coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY ts), '') <> 'error' THEN 1 ELSE 0 END AS flag,
-        lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following FROM events),
-    s AS (SELECT *, sum(flag) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM a)
-    SELECT user_id, min(ts) AS run_start, max(ts) AS run_end, count(*) AS n_rows FROM s WHERE err GROUP BY user_id, sid
+    WITH placed AS (SELECT user_id, ts, event_type = 'error' AS err, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts)
+        - row_number() OVER (PARTITION BY user_id, event_type = 'error' ORDER BY ts) AS apart FROM events)
+    SELECT user_id, min(ts) AS run_start, max(ts) AS run_end, count(*) AS n_rows FROM placed WHERE err GROUP BY user_id, apart
     HAVING arg_max(following, ts) <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)
        AND count(following) = count(*)
     """,

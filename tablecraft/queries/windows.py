@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablecraft.operators import windows as V
+from tablecraft.plans.ordered import last_known, order_of
 from tablecraft.plans.registry import exact, mean_sql, query, rounded
 
 
@@ -21,6 +22,20 @@ def rank_all(t):
     return out.withColumns({c: F.col(c).cast("int") for c in ("row_number", "rank", "dense_rank")})
 
 
+@query(
+    "wn1_rank_text_cut",
+    """
+    SELECT p_partkey, p_name, CAST(row_number() OVER (ORDER BY p_name DESC, p_partkey) AS INTEGER) AS row_number,
+           CAST(rank() OVER (ORDER BY p_name DESC) AS INTEGER) AS rank,
+           CAST(dense_rank() OVER (ORDER BY p_name DESC) AS INTEGER) AS dense_rank FROM part
+    """,
+)
+def rank_text_cut(t):
+    """The whole table is one group, cut along names that share long beginnings."""
+    out = V.rank_all(t.part.select("p_partkey", "p_name"), ["-p_name"], ["p_partkey"], max_rows=150)
+    return out.withColumns({c: F.col(c).cast("int") for c in ("row_number", "rank", "dense_rank")})
+
+
 @query(
     "wn2_dense_rank_by",
     """
@@ -98,10 +113,17 @@ def decile_cut(t):
     return V.decile(orders, ["o_totalprice", "o_orderkey"], max_rows=2_000).select("o_orderkey", "decile")
 
 
-@query("wn6_decile_approx")
+@query("wn6_decile_approx", "SELECT CAST(d AS INTEGER) AS decile, TRUE AS size_in_tolerance, TRUE AS edge_in_tolerance FROM range(1, 11) AS r(d)")
 def decile_approx(t):
-    out = V.decile_approx(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal")
-    return out.groupBy("decile").agg(F.count("*").alias("n"), F.max("c_acctbal").alias("high"))
+    """Both the size of each decile and the rank of its upper edge are right within the stated error."""
+    error = 0.001
+    placed = V.decile_approx(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", error=error)
+    ranked = V.rank_all(placed, ["c_acctbal"], ["c_custkey"])
+    n = t.customer.agg(F.count("*").alias("n")).scalar()
+    return ranked.groupBy("decile").agg(F.count("*").alias("n"), F.max("row_number").alias("edge")).select(
+        "decile", (F.abs(F.col("n") - n / 10) <= 2 * error * n + 2).alias("size_in_tolerance"),
+        (F.abs(F.col("edge") - F.col("decile") * n / 10) <= error * n + 2).alias("edge_in_tolerance"),
+    )
 
 
 @query(
@@ -290,6 +312,39 @@ def running_total_cut(t):
     return rounded(out, 2, "running_total").drop("ts", "value")
 
 
+@query(
+    "wn15_running_ties_cut",
+    """
+    SELECT event_id, round(sum(value) OVER (ORDER BY event_type <> 'error', event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_total FROM events
+    """,
+)
+def running_ties_cut(t):
+    """One value of the first order column holds most rows."""
+    rows = t.events.select("event_id", (F.col("event_type") != "error").alias("calm"), "value")
+    out = V.running_total_rows(rows, [], ["calm", "event_id"], "value", max_rows=500)
+    return rounded(out, 2, "running_total").drop("calm", "value")
+
+
+@query(
+    "wn9_last_known_wide_cut",
+    """
+    WITH w AS (SELECT event_id, CASE WHEN event_id % 40 <> 0 THEN 1152921504606846976 + event_id * 7919 % 10007 END AS wide,
+                      CASE WHEN event_id % 7 = 0 THEN value END AS seen FROM events)
+    SELECT event_id, wide, last_value(seen IGNORE NULLS) OVER (ORDER BY wide DESC NULLS LAST, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_seen FROM w
+    """,
+)
+def last_known_wide_cut(t):
+    """Keys that differ only beyond the 53 bits of a double, some of them NULL."""
+    rows = t.events.select(
+        "event_id",
+        F.expr("CASE WHEN event_id % 40 <> 0 THEN 1152921504606846976 + event_id * 7919 % 10007 END").alias("wide"),
+        F.expr("CASE WHEN event_id % 7 = 0 THEN value END").alias("seen"),
+    )
+    return last_known(rows, [], order_of("-wide", "event_id"), {"last_seen": "seen"}, max_rows=500).drop("seen")
+
+
 @query(
     "wn16_daily_then_cumulative",
     """
