@@ -96,6 +96,14 @@ def zscore_flags(
 def mad_score(df: DataFrame, value: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """Distance from the median in median absolute deviations; NULL if that is 0."""
     hot = find_hot(df, [], max_rows)
+    if hot is None:
+        # scalar subqueries: nothing runs before the rows are asked for
+        middle = percentiles(df, [], value, {"median": 0.5}, max_rows=None).scalar()
+        off = F.abs(F.col(value) - middle)
+        spread = percentiles(df.select(off.alias("_d")), [], "_d", {"mad": 0.5}, max_rows=None).scalar()
+        return df.withColumns(
+            {"median": middle.cast("double"), "mad": spread.cast("double"), "score": off / F.nullif(spread.cast("double"), F.lit(0.0))}
+        )
     # two single numbers
     median = percentiles(df, [], value, {"median": 0.5}, max_rows=hot).first()[0]
     away = F.abs(F.col(value) - F.lit(median))

@@ -199,9 +199,18 @@ def moving_avg(
     out: str = "moving_avg", max_rows: Limit = MAX_ROWS,
 ) -> DataFrame:
     """Average over ``before`` rows back to ``after`` rows ahead."""
+    return moving_avgs(df, by, order, col, {out: (before, after)}, max_rows)
+
+
+def moving_avgs(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, frames: dict[str, tuple[int, int]],
+    max_rows: Limit = MAX_ROWS,
+) -> DataFrame:
+    """Averages over several row frames ``{name: (before, after)}`` in one pass."""
+    before, after = (max(f[i] for f in frames.values()) for i in (0, 1))
     return framed(
         df, by, order_of(*order), before, after,
-        lambda w: {out: F.avg(col).over(w.rowsBetween(-before, after))}, max_rows,
+        lambda w: {out: F.avg(col).over(w.rowsBetween(-b, a)) for out, (b, a) in frames.items()}, max_rows,
     )
 
 
@@ -229,6 +238,15 @@ def rolling_sum_time(
     return attach(df, line.drop("_s"), [*by, ts], "left", hot.max_rows)
 
 
+def rolling_sums(
+    df: DataFrame, by: Sequence[str], ts: str, col: str, before: int, seconds: int, max_rows: Limit = MAX_ROWS
+) -> DataFrame:
+    """Sums over the last rows and over the last seconds, with one look at the group sizes."""
+    limit = find_hot(df, by, max_rows)
+    rows = rolling_sum_rows(df, by, [ts], col, before, max_rows=limit)
+    return rolling_sum_time(rows, by, ts, col, seconds, max_rows=limit)
+
+
 def event_distance(
     df: DataFrame, by: Sequence[str], ts: str, event: Column, max_rows: Limit = MAX_ROWS
 ) -> DataFrame:

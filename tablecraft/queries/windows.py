@@ -371,9 +371,8 @@ FRAMES = {"back_2": (2, 0), "ahead_2": (0, 2), "around_2": (2, 2), "back_6": (6,
     + " FROM events",
 )
 def moving_avg(t):
-    out = t.events.select("event_id", "user_id", "ts", "value")
-    for name, (before, after) in FRAMES.items():
-        out = V.moving_avg(out, ["user_id"], ["ts"], "value", before, after, name)
+    rows = t.events.select("event_id", "user_id", "ts", "value")
+    out = V.moving_avgs(rows, ["user_id"], ["ts"], "value", FRAMES)
     return rounded(out, 6, *FRAMES).drop("user_id", "ts", "value")
 
 
@@ -387,8 +386,7 @@ def moving_avg(t):
 )
 def rolling_sums(t):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    out = V.rolling_sum_rows(rows, ["user_id"], ["ts"], "value", 100)
-    out = V.rolling_sum_time(out, ["user_id"], "ts", "value", 86_400)
+    out = V.rolling_sums(rows, ["user_id"], "ts", "value", 100, 86_400)
     return rounded(out, 2, "rolling_rows", "rolling_time").select("event_id", "rolling_rows", "rolling_time")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -101,3 +102,37 @@ def test_cut_by_text_wide_numbers_and_ties(spark):
     tied = ranked(df, [], order_of("same"), row_number="rn", max_rows=100)
     assert sorted(r.rn for r in tied.select("rn").collect()) == list(range(1, 3001))
     assert cut(df, [], order_of("same"), 100)[0].groupBy("_piece").count().agg(F.max("count")).first()[0] <= 300
+
+
+def jobs_before_action(spark, build):
+    group = f"plan-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_one_look_at_group_sizes(spark, tables):
+    from tablecraft.operators import stats as M
+    from tablecraft.operators import windows as V
+
+    rows = tables.events.select("event_id", "user_id", "ts", "value").persist()
+    rows.count()
+    frames = {f"a{k}": (k, k) for k in range(5)}
+    once = jobs_before_action(spark, lambda: V.moving_avg(rows, ["user_id"], ["ts"], "value", 1, 1))
+    assert jobs_before_action(spark, lambda: V.moving_avgs(rows, ["user_id"], ["ts"], "value", frames)) <= max(once, 2)
+    assert jobs_before_action(spark, lambda: V.rolling_sums(rows, ["user_id"], "ts", "value", 9, 3600)) <= max(once, 2)
+    assert jobs_before_action(spark, lambda: M.mad_score(rows, "value")) <= 2
+
+
+def test_filters_reach_the_scan(spark, tables):
+    from tablecraft.functions.exprs import contains_token
+    from tablecraft.operators.filters import prefix_match
+
+    def pushed(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "StringStartsWith(p_name" in pushed(prefix_match(tables.part, "p_name", "a"))
+    assert "StringContains(p_name" in pushed(tables.part.filter(contains_token("p_name", "ab")))
