@@ -136,3 +136,16 @@ def test_filters_reach_the_scan(spark, tables):
 
     assert "StringStartsWith(p_name" in pushed(prefix_match(tables.part, "p_name", "a"))
     assert "StringContains(p_name" in pushed(tables.part.filter(contains_token("p_name", "ab")))
+
+
+def test_a_small_change_rewrites_its_own_folder(spark, tmp_path):
+    path = str(tmp_path / "days")
+    schema = "id int, day date, v int"
+    days = [dt.date(2024, 1, d) for d in range(1, 11)]
+    L.replace_day(spark.createDataFrame([(k, d, 0) for k, d in enumerate(days)], schema), path, "day")
+    files = lambda: {f.parent.name: f.name for f in (tmp_path / "days").glob("day=*/*.parquet")}
+    before = files()
+    L.upsert_partitions(spark, path, spark.createDataFrame([(3, days[3], 5), (99, days[3], 6)], schema), ["id", "day"], ["v"], "day")
+    after = files()
+    assert [d for d in after if after[d] != before.get(d)] == ["day=2024-01-04"]
+    assert spark.read.parquet(path).agg(F.sum("v"), F.count("*")).first()[:] == (11, 11)
