@@ -24,9 +24,11 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tablecraft.llm.text import as_bytes, fields_of, map_rows, words_of
 from tablecraft.plans.storage import written
@@ -34,6 +36,8 @@ from tablecraft.plans.storage import written
 HEAD, CLASS_WORDS, TAIL_CLASSES, HIDDEN = 1024, 32, 32, 24
 KNOWN = 200_000
 LANES, WINDOW = 256, 32
+#: Tokens that a task scores side by side, and holds.
+SIDE_BY_SIDE = 2_000_000
 #: One of so many training documents is a training sample of a round; replicas per tokens of a sample.
 SAMPLE_OF, ROUNDS, REPLICA_TOKENS, PASSES = 64, 2, 250_000, 2
 RATE, CLIP = 0.01, 1.0
@@ -52,7 +56,7 @@ def count_words(train: DataFrame) -> DataFrame:
             tally[END] += len(b["_text"])
             for text in b["_text"]:
                 tally.update(words_of(text))
-            if len(tally) > 1_000_000:
+            if len(tally) > 250_000:
                 yield {"word": list(tally), "n": list(tally.values())}
                 tally = Counter()
         yield {"word": list(tally), "n": list(tally.values())}
@@ -236,11 +240,11 @@ class Network:
         k, tokens = 0, 0
         for _ in range(passes):
             tokens = 0
-            ids, fresh, live, _ = lay_out(docs, min(lanes, max(1, len(docs))), self.v.inputs - 1)
+            ids, fresh, _ = lay_out(docs, min(lanes, max(1, len(docs))), self.v.inputs - 1)
             h = np.zeros((ids.shape[1], HIDDEN), np.float32)
             for t in range(0, len(ids) - 1, WINDOW):
                 part = slice(t, min(t + WINDOW, len(ids) - 1))
-                targets, use = ids[part.start + 1 : part.stop + 1], live[part.start + 1 : part.stop + 1]
+                targets, use = ids[part.start + 1 : part.stop + 1], ~fresh[part.start + 1 : part.stop + 1]
                 h, grads, _, n = self.window(ids[part], fresh[part], h, targets, use)
                 if not n:
                     continue
@@ -258,11 +262,10 @@ class Network:
         """Log10 chance of each document's classes and head words, states carried over windows."""
         if not docs:
             return np.zeros(0)
-        ids, _, live, owner = lay_out(docs, min(LANES, len(docs)), self.v.inputs - 1)
-        fresh = ids == self.v.inputs - 1
+        ids, fresh, owner = lay_out(docs, min(LANES, len(docs)), self.v.inputs - 1)
         total = np.zeros(len(docs))
         h = np.zeros((ids.shape[1], HIDDEN), np.float32)
-        active = np.array([np.flatnonzero(c)[-1] for c in live.T])
+        active = np.array([np.flatnonzero(~c)[-1] for c in fresh.T])
         hs = np.zeros((WINDOW, ids.shape[1], HIDDEN), np.float32)
         for t in range(0, len(ids) - 1, WINDOW):
             steps = min(WINDOW, len(ids) - 1 - t)
@@ -271,14 +274,14 @@ class Network:
                 h[:width][fresh[t + s, :width]] = 0
                 h[:width] = self.step(self.w["inputs"][ids[t + s, :width]], h[:width])[0]
                 hs[s, :width] = h[:width]
-            use = live[t + 1 : t + 1 + steps, :width]
+            use = ~fresh[t + 1 : t + 1 + steps, :width]
             out = self.outputs(hs[:steps, :width][use], ids[t + 1 : t + 1 + steps, :width][use])
             total += np.bincount(owner[t + 1 : t + 1 + steps, :width][use], out, len(docs))
         return total / np.log(10)
 
 
 def lay_out(docs: list[np.ndarray], lanes: int, start: int):
-    """Documents end to end in lanes, each after a start mark: ids, fresh, live (a target), owner.
+    """Documents end to end in lanes, each after a start mark: ids, fresh (no target), owner.
 
     Longest first, each to the shortest lane; lanes come in falling order of length.
     """
@@ -289,15 +292,14 @@ def lay_out(docs: list[np.ndarray], lanes: int, start: int):
         heapq.heapreplace(heap, (size + len(docs[d]) + 1, i, own))
     rows = sorted(heap, key=lambda x: (-x[0], x[1]))
     ids = np.full((rows[0][0], lanes), start, np.int32)
-    live = np.zeros(ids.shape, bool)
     owner = np.zeros(ids.shape, np.int32)
     for lane, (_, _, own) in enumerate(rows):
         at = 0
         for d in own:
             end = at + 1 + len(docs[d])
-            ids[at + 1 : end, lane], live[at + 1 : end, lane], owner[at:end, lane] = docs[d], True, d
+            ids[at + 1 : end, lane], owner[at:end, lane] = docs[d], d
             at = end
-    return ids, ids == start, live, owner
+    return ids, ids == start, owner
 
 
 def encode(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
@@ -359,29 +361,29 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
 
     def worker(batches):
         net = Network(v, weights)
+        names = (id_col, "held_out", "row", "n_tokens", "n_known", "base_score", "score", "rare")
         for b in batches:
-            out = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "rare")}
-            symbols = []
-            for text in b["_text"]:
+            out, symbols, held = {n: [] for n in names}, [], 0
+            for k, text in enumerate(b["_text"]):
                 ids, ranks, rare = encode(words_of(text), v)
                 symbols.append(ids)
-                n, end = len(ids), v.ranks.get(END)
-                sums = v.base[ranks].sum() + (v.base[end] if end is not None else np.log10(ADD))
-                tail = ranks[ranks >= v.head]
-                out["n_tokens"].append(n)
-                out["n_known"].append(len(ranks) + (end is not None))
-                out["base_score"].append(float(sums) - n * base_norm)
-                out["score"].append(float(v.inner[tail].sum()))
-                out["rare"].append(
-                    [(w, k, v.unseen(c := v.tail_class(w)), float(np.log10(v.mass[c] + 1))) for w, k in rare.items()] or None
-                )
-            out["score"] = (np.array(out["score"]) + net.score(symbols)).tolist()
-            yield out | {n: b[n] for n in (id_col, "held_out", "row")}
+                n, end, tail = len(ids), v.ranks.get(END), ranks[ranks >= v.head]
+                base = v.base[ranks].sum() + (v.base[end] if end is not None else np.log10(ADD)) - n * base_norm
+                own = [{"word": w, "k": c, "tail": v.tail_class(w)} for w, c in rare.items()] or None
+                row = (b[id_col][k], b["held_out"][k], b["row"][k], n, len(ranks) + (end is not None), float(base), float(v.inner[tail].sum()), own)
+                for name, value in zip(names, row):
+                    out[name].append(value)
+                held += n
+                if held >= SIDE_BY_SIDE or k + 1 == len(b["_text"]):
+                    out["score"] = (np.array(out["score"]) + net.score(symbols)).tolist()
+                    out["rare"] = pa.array(out["rare"], rare_arrow)
+                    yield out
+                    out, symbols, held = {n: [] for n in names}, [], 0
 
     rare_type = T.ArrayType(T.StructType([
-        T.StructField("word", T.BinaryType()), T.StructField("k", T.LongType()), T.StructField("unseen", T.DoubleType()),
-        T.StructField("norm", T.DoubleType()),
+        T.StructField("word", T.BinaryType()), T.StructField("k", T.IntegerType()), T.StructField("tail", T.IntegerType()),
     ]))
+    rare_arrow = to_arrow_type(rare_type)
     fields = [
         *fields_of(rows, id_col, "held_out"), T.StructField("row", T.LongType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
@@ -391,7 +393,10 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     scored = written(map_rows(rows.withColumn("row", F.monotonically_increasing_id()), fields, worker), "scored")
     rare = scored.filter("rare IS NOT NULL").select("row", F.inline("rare"))
     found = rare.join(counts, "word", "left")
-    inner = F.when(F.col("n").isNull(), F.col("unseen")).otherwise(F.log10(F.col("n") - v.discount) - F.col("norm"))
+    # One value per tail class.
+    of_class = lambda values: F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("tail") + 1)
+    unseen, norm = of_class([v.unseen(k) for k in range(len(v.mass))]), of_class(np.log10(v.mass + 1))
+    inner = F.when(F.col("n").isNull(), unseen).otherwise(F.log10(F.col("n") - v.discount) - norm)
     late = found.groupBy("row").agg(
         F.sum(F.when(F.col("n").isNull(), 0).otherwise(F.col("k"))).alias("_known"),
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + ADD)).alias("_base"), F.sum(F.col("k") * inner).alias("_inner"),

@@ -103,7 +103,8 @@ def test_chances_add_up_to_one(vocabulary):
 def test_gradient(vocabulary):
     v, rng = vocabulary, np.random.default_rng(2)
     docs = [rng.integers(0, v.head + len(v.mass), n) for n in (9, 4, 6)]
-    ids, fresh, live, _ = lm.lay_out(docs, 2, v.inputs - 1)
+    ids, fresh, _ = lm.lay_out(docs, 2, v.inputs - 1)
+    live = ~fresh
     net = lm.Network(v)
     net.w = {k: x.astype(np.float64) + rng.normal(0, 0.2, x.shape) for k, x in net.w.items()}
 
