@@ -321,7 +321,8 @@ def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
     size = sum(x.size for x in net.w.values())
     replicas = max(1, round(v.total / SAMPLE_OF / REPLICA_TOKENS))
     for k in range(ROUNDS):
-        sample = train.filter(F.pmod(F.xxhash64("_text"), F.lit(SAMPLE_OF)) == k).select("_text")
+        # Drawn and dealt out by row, not by text: copies of a document spread over samples and tasks.
+        sample = train.filter(F.pmod(F.xxhash64("_row", "_text"), F.lit(SAMPLE_OF)) == k).select("_text")
         weights = net.w
 
         def worker(batches, weights=weights):
@@ -333,7 +334,7 @@ def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
 
         fields = [T.StructField("at", T.IntegerType()), T.StructField("value", T.DoubleType()), T.StructField("n", T.DoubleType())]
         mean = (
-            map_rows(sample.repartition(replicas, F.xxhash64("_text")), fields, worker)
+            map_rows(sample.repartition(replicas), fields, worker)
             .groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value")).orderBy("at").toArrow()
         )
         if mean.num_rows:  # one row per weight
@@ -353,7 +354,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     both scores then come from the smoothing alone.
     """
     rows = docs.select(F.col(id_col), held_out.alias("held_out"), as_bytes(text_col).alias("_text"))
-    train = rows.filter("NOT held_out").select("_text")
+    train = rows.filter("NOT held_out").select(F.col(id_col).alias("_row"), "_text")
     counts = written(count_words(train), "word-counts")
     v = build_vocabulary(counts)
     weights = train_network(train, v)
