@@ -1,0 +1,76 @@
+import random
+import re
+
+import corpus_pipeline
+from tablecraft.llm import simhash
+from common import WORDS, odd_documents
+
+
+def plain_similarity(a, b):
+    def shingles(text):
+        words = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def edited_pairs(n):
+    """Pairs of texts of 120 to 400 words, a few words of the second replaced; similarities around 0.8."""
+    rng, rows = random.Random(3), []
+    for k in range(n):
+        words = [rng.choice(WORDS) + str(rng.randrange(900)) for _ in range(rng.randrange(120, 400))]
+        other = list(words)
+        for at in rng.sample(range(len(words)), max(1, round(len(words) * rng.uniform(0.005, 0.03)))):
+            other[at] = "changed" + str(rng.randrange(900))
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    return rows
+
+
+def test_stage_finds_pairs_of_similarity_from_08(spark, folder):
+    rows = edited_pairs(300)
+    text = dict(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, docs, folder).collect()}
+    alike = {d for d in text if d % 2 and plain_similarity(text[d], text[d - 1]) >= 0.8}
+    assert {d for d in text if d % 2 == 0} <= kept
+    assert len(alike) > 100 and {d for d in text if d % 2} - alike <= kept
+    assert len(alike & kept) <= 0.03 * len(alike)
+
+
+def test_given_documents_against_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    root = {d: d for d in text}
+
+    def find(d):
+        return d if root[d] == d else find(root[d])
+
+    for a in text:
+        for b in text:
+            if a < b and plain_similarity(text[a], text[b]) >= 0.8:
+                a_root, b_root = find(a), find(b)
+                root[max(a_root, b_root)] = min(a_root, b_root)
+    got = {r.doc_id for r in simhash.keep_first_similar(docs).collect()}
+    assert got == {d for d in text if find(d) == d}
+
+
+def test_a_member_unlike_the_first_of_its_key_is_still_linked(spark):
+    rng = random.Random(9)
+    words = [rng.choice(WORDS) + str(rng.randrange(900)) for _ in range(300)]
+    chain = []
+    for k in range(12):  # neighbours alike, ends not
+        words = list(words)
+        for at in range(25 * k, 25 * k + 4):
+            words[at] = f"link{k}x{at}"
+        chain.append((k, " ".join(words)))
+    assert plain_similarity(chain[0][1], chain[-1][1]) < 0.8
+    docs = spark.createDataFrame(chain, "doc_id long, text string")
+    assert [r.doc_id for r in simhash.keep_first_similar(docs).collect()] == [0]
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    kept = simhash.keep_first_similar(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} >= {1, 3, 6, 9}
