@@ -1,7 +1,11 @@
 """Substring dedup by sliding spans of consecutive sentences.
 
-A text is cut into sentences, and sentences of more than ``LONGEST`` words into
-parts of that many.  From each part starts one span: the fewest consecutive parts
+A text is cut into sentences, and sentences of more than ``REACH`` words into parts at
+places set by their words: of every ``REACH`` neighbouring places the one where the hash
+of the two words around it is least.  So no part is longer, and a passage is cut alike
+wherever it stands, but for at most ``REACH`` words at either end.  What is left of 51
+words is at least three parts; at its end fewer than ``WORDS`` more may stay, which make
+no span of their own.  From each part starts one span: the fewest consecutive parts
 that are at least ``PARTS`` and hold at least ``WORDS`` words.  A span is known by a
 64-bit hash of its words, A-Z lowered.  The first document of a span is the one with
 the least id, and in it the first place; at all other places the parts that the span
@@ -25,28 +29,58 @@ from tablecraft.plans.storage import written
 
 PARTS = 3
 WORDS = 12
-LONGEST = 20
+REACH = 10
 
 _GAP = re.compile(rb"(?<=[.!?])\s+|\s*\n\s*|(?<=\xe3\x80\x82)\s*")
-_LONG = re.compile(rb"(?:\S+\s*){1,%d}" % LONGEST)
+_WORD = re.compile(rb"\S+")
 _BASE = 0x9E3779B97F4A7C15
 
 
 def cut(text: bytes) -> tuple[list[int], list[list[bytes]]]:
     """Where each part starts, and its words; what lies between parts belongs to the one before."""
-    starts, parts, at = [], [], 0
+    sentences, at = [], 0
     for end, after in [*(m.span() for m in _GAP.finditer(text)), (len(text), len(text))]:
         words = text[at:end].translate(LOWER).split()
-        if len(words) > LONGEST:
-            starts += [at + m.start() for m in _LONG.finditer(text[at:end])]
-            parts += [words[i : i + LONGEST] for i in range(0, len(words), LONGEST)]
-        elif words:
+        if words:
+            sentences.append((at, end, words))
+        at = after
+    inner = _inner_cuts([words for _, _, words in sentences])
+    starts, parts = [], []
+    for (at, end, words), own in zip(sentences, inner):
+        if len(own):
+            edges = [0, *own, len(words)]
+            places = [m.start() for m in _WORD.finditer(text[at:end])]
+            starts += [at, *(at + places[i] for i in own)]
+            parts += [words[i:j] for i, j in zip(edges, edges[1:])]
+        else:
             starts.append(at)
             parts.append(words)
-        at = after
     return starts, parts
 
 
+def _inner_cuts(sentences: list[list[bytes]]) -> list[list[int]]:
+    """Words before which each sentence is cut: the least pair hash of every REACH neighbouring places."""
+    out: list[list[int]] = [[] for _ in sentences]
+    long = [k for k, words in enumerate(sentences) if len(words) > REACH]
+    if not long:
+        return out
+    sizes = np.array([len(sentences[k]) for k in long])
+    ends = np.cumsum(sizes)
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(w) for k in long for w in sentences[k]], np.uint64)
+    pair = (own[:-1] * np.uint64(_BASE)) ^ (own[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(_BASE)
+    sentence = np.repeat(np.arange(len(long)), sizes)
+    # pair[i] is the place before word i + 1; windows that leave their sentence do not count.
+    windows = np.lib.stride_tricks.sliding_window_view(pair, REACH)[:, ::-1]
+    at = np.arange(len(windows))
+    at = at[sentence[at] == sentence[at + REACH]]
+    for word in np.unique(at + REACH - windows[at].argmin(axis=1)).tolist():
+        k = sentence[word]
+        out[long[k]].append(int(word - ends[k] + sizes[k]))
+    return out
+
+
 def span_hashes(parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Hash and number of parts of the span that starts at each part; spans beyond the end are left out."""
     n = len(parts)
