@@ -8,7 +8,7 @@ counted share less a discount, and what the discounts leave is for unseen words;
 the chances of all words and of one unseen word per class add up to one.
 
 Training is data-parallel: each task runs truncated backpropagation over its share of
-the sampled training documents from the same weights, and Spark averages the weights.
+the training documents from the same weights, and Spark averages the weights.
 Scoring runs many documents side by side and carries their states from window to
 window, so every document is read from its first to its last token.
 
@@ -38,8 +38,9 @@ KNOWN = 200_000
 LANES, WINDOW = 256, 32
 #: Tokens that a task scores side by side, and holds.
 SIDE_BY_SIDE = 2_000_000
-#: One of so many training documents is a training sample of a round; replicas per tokens of a sample.
-SAMPLE_OF, ROUNDS, REPLICA_TOKENS, PASSES = 64, 2, 250_000, 2
+#: Each round trains on one of so many shards of the training documents, so that the rounds cover all of
+#: them; tokens of a replica; passes of a task over its documents.
+ROUNDS, REPLICA_TOKENS, PASSES = 2, 2_500_000, 1
 RATE, CLIP = 0.01, 1.0
 #: Smoothing of the base score, a fixed value.
 ADD = 0.1
@@ -315,14 +316,14 @@ def encode(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, d
 
 
 def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
-    """Rounds of local training from the same weights, averaged by the tokens of each task."""
+    """Rounds of local training from the same weights, averaged by the tokens of each task; together they see every row."""
     net = Network(v)
     shapes = {k: x.shape for k, x in net.w.items()}
     size = sum(x.size for x in net.w.values())
-    replicas = max(1, round(v.total / SAMPLE_OF / REPLICA_TOKENS))
+    replicas = max(1, round(v.total / max(1, ROUNDS) / REPLICA_TOKENS))
     for k in range(ROUNDS):
-        # Drawn and dealt out by row, not by text: copies of a document spread over samples and tasks.
-        sample = train.filter(F.pmod(F.xxhash64("_row", "_text"), F.lit(SAMPLE_OF)) == k).select("_text")
+        # Drawn and dealt out by row, not by text: copies of a document spread over shards and tasks.
+        shard = train.filter(F.pmod(F.xxhash64("_row", "_text"), F.lit(ROUNDS)) == k).select("_text")
         weights = net.w
 
         def worker(batches, weights=weights):
@@ -330,11 +331,11 @@ def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
             n = own.train([encode(words_of(t), v)[0] for t in texts]) if texts else 0
             if n:
                 flat = np.concatenate([x.ravel() for x in own.w.values()])
-                yield {"at": np.arange(size).tolist(), "value": (flat * n).tolist(), "n": [float(n)] * size}
+                yield {"at": pa.array(np.arange(size, dtype=np.int32)), "value": pa.array(flat.astype(np.float64) * n), "n": pa.array(np.full(size, float(n)))}
 
         fields = [T.StructField("at", T.IntegerType()), T.StructField("value", T.DoubleType()), T.StructField("n", T.DoubleType())]
         mean = (
-            map_rows(sample.repartition(replicas), fields, worker)
+            map_rows(shard.repartition(replicas), fields, worker)
             .groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value")).orderBy("at").toArrow()
         )
         if mean.num_rows:  # one row per weight
