@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import align, lm, packing, quality, simhash, spans, token_counts, toxicity, urls, warc
+from tablecraft.llm import align, lm, packing, pieces, quality, simhash, spans, token_counts, toxicity, urls, warc
 from tablecraft.llm.text import remainder
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
@@ -113,3 +113,10 @@ if corpus_pipeline.ORACLE_SQL:
 @_query
 def op4_language_model(t: Tables) -> DataFrame:
     return lm.score_documents(t.documents, remainder("doc_id", 10) == 0)
+
+
+@_query
+def op13_sentencepiece(t: Tables) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode_texts(t.documents.select("doc_id", "text"), path)
+    return pieces.decode_ids(encoded, path).select("doc_id", *pieces.digests())
