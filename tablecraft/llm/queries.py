@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import align, lm, packing, pieces, quality, simhash, spans, token_counts, toxicity, urls, warc
+from tablecraft.llm import align, divergence, lm, packing, pieces, quality, simhash, spans, token_counts, toxicity, urls, warc
 from tablecraft.llm.text import remainder
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
@@ -120,3 +120,33 @@ def op13_sentencepiece(t: Tables) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     encoded = pieces.encode_texts(t.documents.select("doc_id", "text"), path)
     return pieces.decode_ids(encoded, path).select("doc_id", *pieces.digests())
+
+
+@_query
+def op12_source_divergence(t: Tables) -> DataFrame:
+    return divergence.audit(t.documents)
+
+
+ORACLE_SQL["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+grid AS (SELECT g.lang, g.source, k.term, lang_n, coalesce(n, 0) AS n, count(*) OVER (PARTITION BY g.lang, g.source) AS v,
+    sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, g.source) AS total, sum(lang_n) OVER (PARTITION BY g.lang, g.source) AS lang_total
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v) AS q FROM grid),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM s WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) u
+QUALIFY part = 'pair' OR rank <= 50
+"""
