@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import align, divergence, lm, packing, pieces, quality, simhash, spans, token_counts, toxicity, urls, warc
+from tablecraft.llm import align, divergence, lm, merkle, packing, pieces, quality, simhash, spans, token_counts, toxicity, urls, warc
 from tablecraft.llm.text import remainder
 from tablecraft.plans.registry import Tables
 from tablecraft.session import tune
@@ -150,3 +150,63 @@ SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value
 FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) u
 QUALIFY part = 'pair' OR rank <= 50
 """
+
+
+@_query
+def op11_merkle_manifest(t: Tables) -> DataFrame:
+    broken = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = {"n_chars": F.when(broken, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    made = merkle.manifest(t.documents, "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], changed)
+    return made.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _merkle_sql() -> str:
+    """Level by level by recursion; crc32 bit by bit over the decimal digits of an id."""
+    part = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    leaf = lambda n: f"sha256({part('CAST(doc_id AS VARCHAR)')} || {part('source')} || {part('lang')} || {part(n)} || {part('text')})"
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, d), CAST(range(8) AS BIGINT[])), lambda c, k: {bit})"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, d: {byte}), 4294967295)"
+
+    def tree(name: str, start: str) -> str:
+        # n nodes on a level; every two make one above, up to a level of one.
+        return f"""
+{name} AS (
+  SELECT g, 0 AS lvl, i, n, h FROM ({start})
+  UNION ALL
+  SELECT g, lvl + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY g, lvl, i // 2),
+{name}_path AS (
+  SELECT g, i AS leaf, i, 0 AS lvl, '' AS sib, h AS now FROM {name}_start
+  UNION ALL
+  SELECT p.g, p.leaf, p.i // 2, p.lvl + 1, p.sib || coalesce(s.h, ''),
+    sha256(CASE WHEN p.i % 2 = 0 THEN p.now || coalesce(s.h, '') ELSE s.h || p.now END)
+  FROM {name}_path p JOIN {name} m ON m.g = p.g AND m.lvl = p.lvl AND m.i = p.i AND m.n > 1
+  LEFT JOIN {name} s ON s.g = p.g AND s.lvl = p.lvl AND s.i = xor(p.i, 1)),
+{name}_end AS (SELECT g, leaf, sib, now FROM {name}_path QUALIFY row_number() OVER (PARTITION BY g, leaf ORDER BY lvl DESC) = 1)"""
+
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce(lang, '') || CASE WHEN lang IS NULL THEN '-' ELSE '+' END AS g, {leaf('CAST(n_chars AS VARCHAR)')} AS h,
+    {leaf("CAST(n_chars + CASE WHEN doc_id IS NOT NULL AND " + crc + " % 7 = 0 THEN 1 ELSE 0 END AS VARCHAR)")} AS now
+  FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+low_start AS (SELECT g, i, now AS h FROM p),
+{tree('low', 'SELECT g, i, n, h FROM p')},
+sub AS MATERIALIZED (SELECT t.g, t.h, row_number() OVER (ORDER BY p.lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM low t JOIN p ON p.g = t.g AND p.i = 0 WHERE t.n = 1),
+high_start AS (SELECT 'all' AS g, i, h FROM sub),
+{tree('high', "SELECT 'all' AS g, i, n, h FROM sub")},
+fold AS (
+  SELECT e.g, e.leaf, e.sib || t.sib AS sib, e.now, sub.i, sub.h AS subroot, 0 AS lvl, t.now AS root
+  FROM low_end e JOIN sub ON sub.g = e.g JOIN high_end t ON t.leaf = sub.i
+  UNION ALL
+  SELECT f.g, f.leaf, f.sib, sha256(CASE WHEN f.i % 2 = 0 THEN f.now || coalesce(s.h, '') ELSE s.h || f.now END), f.i // 2, subroot, f.lvl + 1, root
+  FROM fold f JOIN high m ON m.lvl = f.lvl AND m.i = f.i AND m.n > 1
+  LEFT JOIN high s ON s.lvl = f.lvl AND s.i = xor(f.i, 1)),
+last AS (SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY g, leaf ORDER BY lvl DESC) = 1)
+SELECT p.doc_id, p.h AS leaf, subroot, root, sha256(sib) AS proof_sha256, last.now AS folded_root, last.now = root AS verified
+FROM p JOIN last ON last.g = p.g AND last.leaf = p.i
+"""
+
+
+ORACLE_SQL["op11_merkle_manifest"] = _merkle_sql()
