@@ -38,10 +38,14 @@ KNOWN = 200_000
 LANES, WINDOW = 256, 32
 #: Tokens that a task scores side by side, and holds.
 SIDE_BY_SIDE = 2_000_000
-#: Each round trains on one of so many shards of the training documents, so that the rounds cover all of
-#: them; tokens of a replica; passes of a task over its documents.
-ROUNDS, REPLICA_TOKENS, PASSES = 2, 2_500_000, 1
-RATE, CLIP = 0.01, 1.0
+#: The training documents are dealt out to the rounds, so that these cover all of them: ROUNDS rounds for up to
+#: MANY replicas, and one more for each eight times as many. PASSES: of a task over its documents.
+ROUNDS, MANY, PASSES = 2, 32, 1
+#: Tokens that a replica holds and trains on at once; more replicas than MOST train on several such parts in turn.
+REPLICA_TOKENS, MOST = 2_500_000, 2_048
+TRAIN_LANES, RATE, CLIP = 128, 0.015, 1.0
+#: Training reads documents in stretches of so many tokens in mixed order, so that no step is of one document alone.
+STRETCH = 1_024
 #: Smoothing of the base score, a fixed value.
 ADD = 0.1
 #: The end token; no word is empty.
@@ -109,9 +113,28 @@ class Vocabulary:
         return np.concatenate([own, self.mass]) + 1.0
 
 
+def frequent_words(counts: DataFrame, head: int = HEAD, known: int = KNOWN) -> DataFrame:
+    """At most ``known`` words, the most frequent ones: all above a count, so that no task sorts more than these.
+
+    Words of the count at the edge are left out together; they are rare words then.
+    Only where that leaves fewer than ``head`` words are the first ``head`` sorted out.
+    """
+    # Counts up to 4096 one by one, larger ones in steps of 2%: a few thousand rows.
+    step = F.when(F.col("n") < 4096, F.col("n")).otherwise(4096 + F.floor(F.log2(F.col("n") / 4096) * 32)).cast("long")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("kinds")).orderBy(F.desc("step")).collect()
+    held = least = 0
+    for r in sizes:
+        if held + r.kinds > known:
+            break
+        held, least = held + r.kinds, r.step
+    if held >= head or held == sum(r.kinds for r in sizes):
+        return counts.filter(step >= least)
+    return counts.orderBy(F.desc("n"), "word").limit(head)
+
+
 def build_vocabulary(counts: DataFrame, head: int = HEAD, known: int = KNOWN) -> Vocabulary:
     """At most ``known`` words and one row per letter come to the driver."""
-    top = counts.orderBy(F.desc("n"), "word").limit(known).toArrow()
+    top = frequent_words(counts, head, known).orderBy(F.desc("n"), "word").toArrow()
     words, n = top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.float64)
     head = min(head, len(words))
     # END is a head word whatever its rank: it has no first letter.
@@ -155,6 +178,8 @@ class Network:
                 "words": np.zeros((v.head_classes * CLASS_WORDS, HIDDEN)), "word_bias": bias,
             }
         self.w = {k: np.asarray(x, np.float32) for k, x in weights.items()}
+        self.moments: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.steps = 0
 
     def step(self, x, h):
         g = h @ self.w["state"]
@@ -234,31 +259,48 @@ class Network:
             grads["inputs"][used] = np.add.reduceat(flow[live][order], starts, axis=0)
         return h, grads, float(-out.sum()), len(out)
 
-    def train(self, docs: list[np.ndarray], passes: int = PASSES, lanes: int = 64) -> int:
-        """Adam over windows of lanes of documents; returns the number of tokens seen in a pass."""
-        first = {k: np.zeros_like(x) for k, x in self.w.items()}
-        second = {k: np.zeros_like(x) for k, x in self.w.items()}
-        k, tokens = 0, 0
+    def train(self, docs: list[np.ndarray], passes: int = PASSES, lanes: int = TRAIN_LANES) -> int:
+        """Adam over windows of lanes of documents; returns the number of tokens seen in a pass.
+
+        States are carried over the windows of a stretch.  A step waits until half of a full
+        window's tokens are seen: where few lanes go on, their windows are one step together.
+        """
+        docs = [d[a : a + STRETCH] for d in docs for a in range(0, len(d), STRETCH)]
+        docs = [docs[i] for i in np.random.default_rng(len(docs)).permutation(len(docs))]
+        lanes = min(lanes, max(1, len(docs)))
+        tokens = 0
         for _ in range(passes):
             tokens = 0
-            ids, fresh, _ = lay_out(docs, min(lanes, max(1, len(docs))), self.v.inputs - 1)
+            ids, fresh, _ = lay_out(docs, lanes, self.v.inputs - 1, mixed=True)
             h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+            active = np.array([np.flatnonzero(~c)[-1] for c in fresh.T])
+            sums, seen = None, 0
             for t in range(0, len(ids) - 1, WINDOW):
+                width = int(np.count_nonzero(active > t))  # lanes are in falling order of length
                 part = slice(t, min(t + WINDOW, len(ids) - 1))
-                targets, use = ids[part.start + 1 : part.stop + 1], ~fresh[part.start + 1 : part.stop + 1]
-                h, grads, _, n = self.window(ids[part], fresh[part], h, targets, use)
-                if not n:
-                    continue
-                k, tokens = k + 1, tokens + n
-                size = np.sqrt(sum(float((g / n) @ (g / n)) for g in map(np.ravel, grads.values())))
-                scale = min(1.0, CLIP / max(size, 1e-12)) / n
-                for name, g in grads.items():
-                    g *= scale
-                    first[name] += 0.1 * (g - first[name])
-                    second[name] += 0.01 * (g * g - second[name])
-                    self.w[name] -= RATE * (first[name] / (1 - 0.9**k)) / (np.sqrt(second[name] / (1 - 0.99**k)) + 1e-6)
+                ahead = slice(part.start + 1, part.stop + 1)
+                h, grads, _, n = self.window(ids[part, :width], fresh[part, :width], h[:width], ids[ahead, :width], ~fresh[ahead, :width])
+                sums = grads if sums is None else {k: sums[k] + g for k, g in grads.items()}
+                seen += n
+                if 2 * seen >= lanes * WINDOW or part.stop == len(ids) - 1 and seen:
+                    self.descend(sums, seen)
+                    tokens, sums, seen = tokens + seen, None, 0
         return tokens
 
+    def descend(self, grads: dict[str, np.ndarray], n: int) -> None:
+        """One step of Adam by gradients summed over n tokens."""
+        if not self.moments:
+            self.moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in self.w.items()}
+        self.steps += 1
+        size = np.sqrt(sum(float((g / n) @ (g / n)) for g in map(np.ravel, grads.values())))
+        scale = min(1.0, CLIP / max(size, 1e-12)) / n
+        for name, g in grads.items():
+            first, second = self.moments[name]
+            g *= scale
+            first += 0.1 * (g - first)
+            second += 0.01 * (g * g - second)
+            self.w[name] -= RATE * (first / (1 - 0.9**self.steps)) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-6)
+
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Log10 chance of each document's classes and head words, states carried over windows."""
         if not docs:
@@ -281,13 +323,14 @@ class Network:
         return total / np.log(10)
 
 
-def lay_out(docs: list[np.ndarray], lanes: int, start: int):
+def lay_out(docs: list[np.ndarray], lanes: int, start: int, mixed: bool = False):
     """Documents end to end in lanes, each after a start mark: ids, fresh (no target), owner.
 
-    Longest first, each to the shortest lane; lanes come in falling order of length.
+    Longest first (``mixed``: in the order given), each to the shortest lane; lanes come in
+    falling order of length.
     """
     heap = [(0, i, []) for i in range(lanes)]
-    for d in sorted(range(len(docs)), key=lambda d: -len(docs[d])):
+    for d in range(len(docs)) if mixed else sorted(range(len(docs)), key=lambda d: -len(docs[d])):
         size, i, own = heap[0]
         own.append(d)
         heapq.heapreplace(heap, (size + len(docs[d]) + 1, i, own))
@@ -315,20 +358,33 @@ def encode(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, d
     return symbols, rank[known], Counter(rare)
 
 
+def rounds_for(tokens: int) -> int:
+    """Rounds of averaging for so many training tokens."""
+    replicas = tokens / max(1, ROUNDS) / REPLICA_TOKENS
+    return ROUNDS + int(np.ceil(np.log(replicas / MANY) / np.log(8))) if ROUNDS and replicas > MANY else ROUNDS
+
+
 def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
     """Rounds of local training from the same weights, averaged by the tokens of each task; together they see every row."""
     net = Network(v)
     shapes = {k: x.shape for k, x in net.w.items()}
     size = sum(x.size for x in net.w.values())
-    replicas = max(1, round(v.total / max(1, ROUNDS) / REPLICA_TOKENS))
-    for k in range(ROUNDS):
+    rounds = rounds_for(v.total)
+    replicas = min(MOST, max(1, round(v.total / max(1, rounds) / REPLICA_TOKENS)))
+    for k in range(rounds):
         # Drawn and dealt out by row, not by text: copies of a document spread over shards and tasks.
-        shard = train.filter(F.pmod(F.xxhash64("_row", "_text"), F.lit(ROUNDS)) == k).select("_text")
+        shard = train.filter(F.pmod(F.xxhash64("_row", "_text"), F.lit(rounds)) == k).select("_text")
         weights = net.w
 
         def worker(batches, weights=weights):
-            own, texts = Network(v, weights), [t for b in batches for t in b["_text"]]
-            n = own.train([encode(words_of(t), v)[0] for t in texts]) if texts else 0
+            own, docs, held, n = Network(v, weights), [], 0, 0
+            for text in (t for b in batches for t in b["_text"]):
+                docs.append(encode(words_of(text), v)[0])
+                held += len(docs[-1])
+                if held >= 1.5 * REPLICA_TOKENS:
+                    n += own.train(docs)
+                    docs, held = [], 0
+            n += own.train(docs) if docs else 0
             if n:
                 flat = np.concatenate([x.ravel() for x in own.w.values()])
                 yield {"at": pa.array(np.arange(size, dtype=np.int32)), "value": pa.array(flat.astype(np.float64) * n), "n": pa.array(np.full(size, float(n)))}

@@ -12,11 +12,6 @@ by narrower buckets: 64 bits in 16 blocks of 4, and 3 differing bits lie in at m
 blocks, so two linked fingerprints agree on 13 blocks.  Each member goes to the 560
 choices of 3 blocks to leave out; a bucket then has at most 4096 distinct members,
 and its components are found inside one task.
-
-``keep_first_similar`` is for a stated similarity of word shingles instead.  At 0.8 two
-fingerprints differ in about 15% of their bits, too many for that index: there
-``LONG_BITS`` bits are drawn, ``SEGMENTS`` times ``SEGMENT_BITS`` of them are an index, and
-what meets and lies within ``RADIUS`` of 64 further bits has its shingles compared.
 """
 
 from __future__ import annotations
@@ -39,10 +34,6 @@ BUCKET = 256
 SEED = 42
 _HALF = 0xFFFFFFFF
 
-#: Shingles of so many words are alike from this Jaccard similarity on.
-SHINGLE, SIMILARITY = 5, 0.8
-LONG_BITS, SEGMENTS, SEGMENT_BITS, RADIUS = 1024, 200, 24, 20
-
 
 def fingerprint(text: bytes, size: int = 3) -> int:
     """64-bit SimHash over word shingles, repeats included; no word gives zero."""
@@ -163,120 +154,3 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = near_duplicates(docs.select(id_col, text_col), id_col, text_col)
     gone = groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
     return join_keys(docs, gone, [id_col], "left_anti")
-
-
-def shingles_of(text: bytes, size: int = SHINGLE) -> set[bytes]:
-    """The set of word shingles; a text of fewer words is one shingle, no word gives none."""
-    words = words_of(text)
-    if len(words) < size:
-        return {b" ".join(words)} if words else set()
-    return set(map(b" ".join, zip(*(words[i:] for i in range(size)))))
-
-
-def similarity(a: bytes, b: bytes, size: int = SHINGLE) -> float:
-    """Jaccard similarity of the shingle sets; two texts without a word are equal."""
-    x, y = shingles_of(a, size), shingles_of(b, size)
-    both = len(x & y)
-    return both / (len(x) + len(y) - both) if x or y else 1.0
-
-
-def _segment_places() -> np.ndarray:
-    rng = np.random.default_rng(SEED)
-    return np.stack([rng.choice(LONG_BITS, SEGMENT_BITS, replace=False) for _ in range(SEGMENTS)])
-
-
-def long_fingerprint(text: bytes, size: int = SHINGLE) -> tuple[int, np.ndarray]:
-    """64 bits to verify on, and the ``SEGMENTS`` index keys, each with its segment's number above its bits."""
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles_of(text, size)], np.uint64)
-    steps = np.arange(1, LONG_BITS // 64 + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    set_bits = np.zeros(LONG_BITS + 64, np.int64)
-    for start in range(0, len(hashes), 1 << 12):
-        z = hashes[start : start + (1 << 12), None] + steps
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z = np.ascontiguousarray(z ^ (z >> np.uint64(31)))
-        set_bits += np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = set_bits * 2 > len(hashes)
-    keys = bits[:LONG_BITS][_PLACES] @ (1 << np.arange(SEGMENT_BITS)) + (np.arange(SEGMENTS) << SEGMENT_BITS)
-    return int(np.packbits(bits[LONG_BITS:], bitorder="little").view("<i8")[0]), keys
-
-
-_PLACES = _segment_places()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose texts are alike."""
-
-    def worker(batches):
-        for batch in batches:
-            hit = [i for i, (x, y) in enumerate(zip(batch["_x"], batch["_y"])) if similarity(x, y, size) >= least]
-            yield {n: [batch[n][i] for i in hit] for n in ("a", "b")}
-
-    of = lambda end, name: texts.select(F.col("node").alias(end), F.col("_text").alias(name))
-    both = join_keys(join_keys(pairs, of("a", "_x"), ["a"], "inner"), of("b", "_y"), ["b"], "inner")
-    return map_rows(both, [T.StructField("a", T.LongType()), T.StructField("b", T.LongType())], worker)
-
-
-def similar_links(texts: DataFrame, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
-    """Links ``(a, b)`` among ``texts(node, _text)`` whose components are those of all alike pairs that share a key.
-
-    Each node is compared with the least one of its key.  Nodes linked to it are in its
-    component already; only those that are not are compared with the key's other members.
-    """
-
-    def worker(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            for start in range(0, len(b["node"]), 500):
-                nodes, made = b["node"][start : start + 500], [long_fingerprint(t, size) for t in b["_text"][start : start + 500]]
-                yield {
-                    "key": pa.array(np.concatenate([k for _, k in made])),
-                    "node": pa.array(np.repeat(np.array(nodes, np.int64), SEGMENTS)),
-                    "fp": pa.array(np.repeat(np.array([f for f, _ in made], np.int64), SEGMENTS)),
-                }
-
-    fields = [T.StructField(n, T.LongType()) for n in ("key", "node", "fp")]
-    keyed = map_rows(texts, fields, worker).repartition("key")
-    firsts = keyed.groupBy("key").agg(F.count("*").alias("_n"), F.min(F.struct("node", "fp")).alias("_first")).filter("_n > 1")
-    members = written(
-        keyed.join(firsts, "key").select("key", "node", "fp", "_n", F.col("_first.node").alias("first"), F.col("_first.fp").alias("first_fp")),
-        "members",
-    )
-    near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= RADIUS
-    stars = members.filter((F.col("node") != F.col("first")) & near("fp", "first_fp"))
-    links = written(_verified(stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), texts, size, least), "alike")
-    linked = links.select(F.col("a").alias("first"), F.col("b").alias("node"))
-    rest = members.filter("_n > 2 AND node <> first").join(linked, ["first", "node"], "left_anti").select("key", F.col("node").alias("_own"), F.col("fp").alias("_own_fp"))
-    others = members.filter("_n > 2 AND node <> first").select("key", "node", "fp")
-    more = (
-        rest.join(others, "key").filter((F.col("_own") != F.col("node")) & near("_own_fp", "fp"))
-        .select(F.least("_own", "node").alias("a"), F.greatest("_own", "node").alias("b")).distinct()
-    )
-    return links.unionByName(_verified(more.join(links, ["a", "b"], "left_anti"), texts, size, least))
-
-
-def keep_first_similar(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY
-) -> DataFrame:
-    """The documents whose id is the least of their group of alike texts, all columns.
-
-    Texts of the same words are one node.  Rows that repeat a kept id stay; a null id
-    is never the least unless it is alone.
-    """
-
-    def worker(batches):
-        for b in batches:
-            words = [b" ".join(words_of(t)) for t in b["_text"]]
-            yield {id_col: b[id_col], "node": [xxhash.xxh64_intdigest(w, SEED) - (1 << 63) for w in words], "_text": words}
-
-    fields = [*fields_of(docs, id_col), T.StructField("node", T.LongType()), T.StructField("_text", T.BinaryType())]
-    rows = written(map_rows(docs.select(id_col, as_bytes(text_col).alias("_text")), fields, worker), "nodes-of-rows")
-    nodes = written(rows.groupBy("node").agg(F.min(id_col).alias("_least"), F.min("_text").alias("_text")), "nodes")
-    # Texts without a word have no shingle to share; they are one node.
-    roots = components(similar_links(nodes.filter(F.length("_text") > 0).select("node", "_text"), size, least))
-    placed = nodes.select("node", "_least").join(roots, "node", "left").select("node", "_least", F.coalesce("root", "node").alias("_root"))
-    firsts = placed.groupBy("_root").agg(F.min("_least").alias("_first"))
-    of_node = placed.join(firsts, "_root").select("node", "_first")
-    gone = join_keys(rows.select(id_col, "node"), of_node, ["node"], "inner").filter(~F.col(id_col).eqNullSafe(F.col("_first")))
-    return join_keys(docs, gone.select(id_col).distinct(), [id_col], "left_anti")

@@ -144,19 +144,19 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def without(text: bytes, places: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The text without the parts at ``places``, the number of parts removed and of all."""
+def without(text: bytes, places: list[tuple[int, int]]) -> tuple[bytes, int]:
+    """The text without the parts at ``places``, and the number of parts removed."""
     starts, parts = cut(text)
     covered = np.zeros(len(starts), bool)
     for pos, n in places:
         covered[pos : pos + n] = True
     ends = [*starts[1:], len(text)]
     kept = b"".join(text[a:b] for a, b, c in zip([0, *starts[1:]], ends, covered) if not c)
-    return kept.rstrip() if covered.any() else text, int(covered.sum()), len(starts)
+    return kept.rstrip() if covered.any() else text, int(covered.sum())
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, text, n_parts, n_removed)``, one row per document row.
+    """``(id, text, n_removed)``, one row per document row.
 
     Documents without a repeated span keep their text as it is, null included.  Rows
     of one id count as one document: none of them is later than another.  A null id
@@ -170,16 +170,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def worker(batches):
         for b in batches:
-            out = {n: [] for n in (id_col, "text", "n_parts", "n_removed")}
-            for doc, text, places in zip(b[id_col], b["text"], b["places"]):
-                new, removed, total = without((text or "").encode(), [(p["pos"], p["n"]) for p in places or ()])
-                for name, value in zip(out, (doc, new.decode() if removed else text, total, removed)):
-                    out[name].append(value)
-            yield out
+            texts, removed = b["text"], [0] * len(b["text"])
+            for i, places in enumerate(b["places"]):
+                if places:  # all other texts stay as they are and are not cut again
+                    new, removed[i] = without((texts[i] or "").encode(), [(p["pos"], p["n"]) for p in places])
+                    texts[i] = new.decode()
+            yield {id_col: b[id_col], "text": texts, "n_removed": removed}
 
     fields = [
-        *fields_of(docs, id_col), T.StructField("text", T.StringType()), T.StructField("n_parts", T.IntegerType()),
-        T.StructField("n_removed", T.IntegerType()),
+        *fields_of(docs, id_col), T.StructField("text", T.StringType()), T.StructField("n_removed", T.IntegerType()),
     ]
     return map_rows(joined.select(id_col, "text", "places"), fields, worker)
 

@@ -135,3 +135,37 @@ def test_states_are_carried_and_documents_do_not_mix(vocabulary, monkeypatch):
     monkeypatch.setattr(lm, "LANES", 2)
     assert np.allclose(net.score(docs), together, rtol=1e-4)
     assert net.score(docs).sum() > lm.Network(v).score(docs).sum()
+
+
+def test_one_long_document_among_short_ones_does_no_harm(vocabulary):
+    """Windows that only the long document still fills do not draw the weights to it."""
+    v = vocabulary
+    some = [lm.encode([w.encode() for w in plain_words(prose(i))], v)[0] for i in range(200)]
+    long = lm.encode([w.encode() for w in plain_words(prose(999, 2_223))], v)[0]
+    net = lm.Network(v)
+    net.train([*some, long])
+    assert len(long) > 20_000 and net.score(some).sum() > 1.05 * lm.Network(v).score(some).sum()
+
+
+def test_frequent_words_are_bounded_by_their_counts(spark):
+    counts = spark.createDataFrame([(bytes([65 + i]), n) for i, n in enumerate((9000, 5000, 7, 7, 7, 2, 1, 1))], "word binary, n long")
+    known = lambda head, known: sorted(r.n for r in lm.frequent_words(counts, head, known).collect())
+    assert known(1, 8) == [1, 1, 2, 7, 7, 7, 5000, 9000]
+    assert known(1, 6) == [2, 7, 7, 7, 5000, 9000]
+    assert known(1, 4) == [5000, 9000]  # the three of the edge are left out together
+    assert known(3, 4) == [7, 5000, 9000]
+    assert lm.frequent_words(counts.filter("false")).count() == 0
+
+
+def test_rounds_grow_with_replicas():
+    assert lm.rounds_for(10) == lm.ROUNDS == lm.rounds_for(2 * lm.MANY * lm.REPLICA_TOKENS)
+    assert lm.rounds_for(16 * lm.MANY * lm.REPLICA_TOKENS) == lm.ROUNDS + 1
+
+
+def test_parts_of_a_replica_keep_their_moments(vocabulary):
+    docs = [lm.encode([w.encode() for w in plain_words(prose(i))], vocabulary)[0] for i in range(40)]
+    net = lm.Network(vocabulary)
+    net.train(docs[:20])
+    steps = net.steps
+    net.train(docs[20:])
+    assert net.steps > steps > 0

@@ -27,6 +27,9 @@ CONTRACT = {
     "op8_": ["doc_id", "text"],
     "op9_": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_": ["lang", "source", "part", "item", "value", "rank"],
+    "op13_": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 

@@ -27,8 +27,8 @@ def plain(rows):
             if span in here or seen[span] != (float("inf") if doc is None else doc):
                 places.append((i, n))
             here.add(span)
-        new, removed, total = spans.without((text or "").encode(), places)
-        out.append((doc, new.decode() if removed else text, total, removed))
+        new, removed = spans.without((text or "").encode(), places)
+        out.append((doc, new.decode() if removed else text, removed))
     return sorted(out, key=str)
 
 
