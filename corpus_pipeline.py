@@ -22,9 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of texts alike in 5-word shingles."""
+    """Keep the document with the least id of each group of linked fingerprints."""
     tune(spark)
-    return simhash.keep_first_similar(docs)
+    return simhash.keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
