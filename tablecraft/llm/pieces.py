@@ -40,9 +40,9 @@ BLANK, UNKNOWN_TEXT = "▁", " ⁇ "
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 #: Bytes of text that a task cuts and merges at once; a longer text is a slice of its own.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 #: More words than this are forgotten together; longer words are not kept.
-CACHE_WORDS, CACHE_BYTES = 500_000, 64
+CACHE_WORDS, CACHE_BYTES = 150_000, 64
 
 _NONE = np.int32(2**31 - 1)
 #: Slots of the table of merges for each merge, at least.
