@@ -1,8 +1,8 @@
 """Trees, combinations and paths by repeated joins.
 
-Each round joins the rows found last with the edge table and is written to the
-shared folder, so the plan of a round never contains the rounds before and a
-lost executor costs one round at most.
+Each round joins what the round before found and is written to the shared folder,
+so the plan of a round never contains the rounds before and a lost executor costs
+one round at most.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.plans.ordered import order_of, ranked
-from tablecraft.plans.storage import checkpointed, shared_dir
+from tablecraft.plans.storage import checkpointed, shared_dir, written
 
 
 class TooLarge(ValueError):
@@ -39,17 +39,89 @@ def _rounds(frontier: DataFrame, step, max_rounds: int | None) -> DataFrame:
     raise TooLarge(f"more than {max_rounds} levels")
 
 
+def _one_parent(rows: DataFrame, node: str) -> bool:
+    """Whether each node has one row."""
+    repeated = rows.filter(F.col(node).isNotNull()).groupBy(node).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return repeated.isEmpty()
+
+
+def _climbed(links: DataFrame) -> DataFrame:
+    """``(_node, _steps)`` of the nodes whose chain of parents ends at a top.
+
+    ``links(_node, _up, _steps, _top)`` has one row per node: a top has no ``_up`` and
+    ``_top`` set, an ``_up`` without a row ends a chain nowhere.  A round lets every node
+    take over the pointer of the node it points to, so the reach doubles: a chain of n
+    takes log2(n) rounds.  A pointer that outlives as many rounds as all nodes in one chain
+    would take runs in a cycle.
+    """
+    links = written(links, "links")
+    nodes = links.count()
+    for _ in range(nodes.bit_length() + 1):
+        # ends stay as they are; only the nodes still on their way are joined
+        moving = links.filter("_up IS NOT NULL")
+        if moving.isEmpty():
+            break
+        ahead = links.select(
+            F.col("_node").alias("_at"), F.col("_up").alias("_far"), F.col("_steps").alias("_more"), F.col("_top").alias("_end")
+        )
+        jumped = moving.join(ahead, F.col("_up") == F.col("_at"), "left").select(
+            "_node", F.col("_far").alias("_up"), (F.col("_steps") + F.coalesce("_more", F.lit(0))).alias("_steps"),
+            F.coalesce("_end", F.lit(False)).alias("_top"),
+        )
+        links = written(links.filter("_up IS NULL").unionByName(jumped), "links")
+    return links.filter("_top AND _up IS NULL").select("_node", "_steps")
+
+
+def _paths(links: DataFrame, depth: int) -> DataFrame:
+    """``(_node, _path)`` of ``links(_node, _up)`` whose chains all end at a row without ``_up``, at most ``depth`` links on.
+
+    The path of 2^k nodes in round k: a round puts the stretch above in front.  Together
+    the paths of a round are no longer than the result.
+    """
+    made = written(links.select("_node", "_up", F.array(F.col("_node").cast("string")).alias("_path")), "paths")
+    for _ in range(depth.bit_length()):
+        above = made.select(F.col("_node").alias("_at"), F.col("_up").alias("_far"), F.col("_path").alias("_front"))
+        longer = made.filter("_up IS NOT NULL").join(above, F.col("_up") == F.col("_at")).select(
+            "_node", F.col("_far").alias("_up"), F.concat("_front", "_path").alias("_path")
+        )
+        made = written(made.filter("_up IS NULL").unionByName(longer), "paths")
+    return made.select("_node", "_path")
+
+
 def descendants(
     edges: DataFrame, node: str, parent: str, root, sep: str = ">", max_levels: int | None = None
 ) -> DataFrame:
     """The root and everyone below it, with generation and path from the root.
 
-    A node that is already on the path is not entered again, so cycles end.
+    Where each node has one parent, pointers to ancestors are doubled: log2(levels)
+    rounds, and a cycle is a pointer that never ends.  Where a node has several, each
+    simple path from the root is a row, found level by level; a node that is already
+    on the path is not entered again, so cycles end.
     """
     people = edges.select(node, parent)
-    start = people.filter(F.col(node) == root).select(
-        node, parent, F.lit(1).alias("generation"), F.array(F.col(node).cast("string")).alias("path")
-    )
+    start = people.filter(F.col(node) == root)
+    if not _one_parent(people, node):
+        return _descendants_by_level(people, node, parent, start, sep, max_levels)
+    named = people.filter(F.col(node).isNotNull())
+    top = F.col(node) == root
+    up = F.when(~top, F.col(parent))
+    found = _climbed(named.filter(top | F.col(parent).isNotNull()).select(
+        F.col(node).alias("_node"), up.alias("_up"), F.when(top, 0).otherwise(1).alias("_steps"), top.alias("_top")
+    ))
+    found = written(found, "found")
+    deepest = found.agg(F.max("_steps")).first()[0] or 0
+    if max_levels is not None and deepest + 1 > max_levels:
+        raise TooLarge(f"more than {max_levels} levels")
+    own = named.join(found, F.col(node) == F.col("_node")).select(node, parent, "_node", up.alias("_up"), "_steps")
+    own = written(own, "descendants")
+    placed = own.join(_paths(own, deepest).withColumnRenamed("_node", "_of"), F.col("_node") == F.col("_of"))
+    return placed.select(node, parent, (F.col("_steps") + 1).alias("generation"), F.array_join("_path", sep).alias("path"))
+
+
+def _descendants_by_level(
+    people: DataFrame, node: str, parent: str, start: DataFrame, sep: str, max_levels: int | None
+) -> DataFrame:
+    first = start.select(node, parent, F.lit(1).alias("generation"), F.array(F.col(node).cast("string")).alias("path"))
     child = people.select(F.col(node).alias("_node"), F.col(parent).alias("_parent"))
 
     def step(frontier: DataFrame) -> DataFrame:
@@ -61,22 +133,35 @@ def descendants(
         )
 
     # The path is a list until the end, since a name may hold the separator.
-    return _rounds(start, step, max_levels).withColumn("path", F.array_join("path", sep))
+    return _rounds(first, step, max_levels).withColumn("path", F.array_join("path", sep))
 
 
 def hierarchy_levels(rows: DataFrame, id_: str, parent: str, roots, max_levels: int | None = None) -> DataFrame:
     """Rows below the given roots (a condition) with their level, 1 for the roots.
 
-    A row has one parent, so a cycle cannot be reached from a root without one.
+    A row has one parent, so a cycle cannot be reached from a root without one.  Pointers
+    to ancestors are doubled: log2(levels) rounds.  Where ids repeat, a row counts once
+    for every row of its parent, level by level.
     """
-    start = rows.filter(roots & F.col(parent).isNull()).withColumn("level", F.lit(1))
-
-    def step(frontier: DataFrame) -> DataFrame:
-        above = frontier.select(F.col(id_).alias(parent), "level")
-        below = rows.join(above, parent).withColumn("level", F.col("level") + 1)
-        return below.select(*rows.columns, "level")
-
-    return _rounds(start, step, max_levels)
+    chosen = F.coalesce(roots, F.lit(False)) & F.col(parent).isNull()
+    if not _one_parent(rows, id_):
+        def step(frontier: DataFrame) -> DataFrame:
+            above = frontier.select(F.col(id_).alias(parent), "level")
+            below = rows.join(above, parent).withColumn("level", F.col("level") + 1)
+            return below.select(*rows.columns, "level")
+
+        return _rounds(rows.filter(chosen).withColumn("level", F.lit(1)), step, max_levels)
+    named = rows.filter(F.col(id_).isNotNull())
+    steps = F.when(F.col(parent).isNull(), 0).otherwise(1)
+    links = named.select(F.col(id_).alias("_node"), F.col(parent).alias("_up"), steps.alias("_steps"), chosen.alias("_top"))
+    found = written(_climbed(links), "found")
+    # By the parent's level, so rows without an id have theirs too.
+    above = found.select(F.col("_node").alias("_above"), (F.col("_steps") + 2).alias("level"))
+    below = rows.join(above, F.col(parent) == F.col("_above")).select(*rows.columns, "level")
+    out = rows.filter(chosen).withColumn("level", F.lit(1)).unionByName(below)
+    if max_levels is not None and not out.filter(F.col("level") > max_levels).isEmpty():
+        raise TooLarge(f"more than {max_levels} levels")
+    return out
 
 
 def combos(df: DataFrame, item_id: str, item_name: str, depth: int = 3, max_rows: int | None = None) -> DataFrame:

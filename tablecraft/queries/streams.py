@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablecraft.operators import etl
 from tablecraft.plans.registry import Tables, query
 from tablecraft.plans.storage import shared_dir
 from tablecraft.session import tune
@@ -92,8 +91,7 @@ def stream_sessions(t):
 def stream_upsert(t):
     root = shared_dir(t.spark, "latest-by-user")
     stream = _feed(t)
-    S.stream_upsert(stream, root, ["user_id"], ["event_id", "ts", "event_type", "value"], "ts")
-    return etl.current(t.spark, root, stream.schema)
+    return S.stream_upsert(stream, root, ["user_id"], ["event_id", "ts", "event_type", "value"], "ts").read()
 
 
 @query(

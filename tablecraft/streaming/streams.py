@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tablecraft.operators import etl
+from tablecraft.operators.deltas import DeltaTable
 from tablecraft.operators.filters import standardise
 from tablecraft.plans.storage import shared_dir
 
@@ -81,34 +81,32 @@ def stream_sessions(stream: DataFrame, key: str, ts: str, gap: str, delay: str)
 
 
 def stream_upsert(
-    stream: DataFrame, root: str, keys: list[str], update: list[str], newest: str, checkpoint: str | None = None
-) -> None:
-    """Upsert every micro-batch into the published table under ``root``.
-
-    A row that arrives after a newer one of its key changes nothing.  The version is
-    named after the checkpoint and the batch, so a batch that is run again writes the
-    same version again, and another query on the same table never takes its name.
+    stream: DataFrame, root: str, keys: list[str], update: list[str], newest: str, checkpoint: str | None = None,
+    compact: bool = True,
+) -> DeltaTable:
+    """Upsert every micro-batch into the delta table under ``root`` and give back that table.
+
+    A row that arrives after a newer one of its key changes nothing.  A batch writes its
+    own rows only; buckets with many delta rows are rewritten after it.  The batch is
+    named after the checkpoint and its number, so a batch that is run again adds nothing,
+    and another query on the same table never takes its name.
     """
     spark = stream.sparkSession
-    schema = stream.schema
+    table = DeltaTable(spark, root, stream.schema, tuple(keys), tuple(update), newest)
     checkpoint = checkpoint or shared_dir(spark, "upsert-state")
     feed = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint.rstrip("/")).hex[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        version = f"{feed}-{batch_id:09d}"
-        now = etl.current_version(spark, root)
-        if now == version:
-            return
-        fresh = etl.latest_per_key(batch, keys, [newest]).select(*schema.names)
-        if now is not None:
-            fresh = etl.upsert(etl.current(spark, root, schema), fresh, keys, update, if_newer=newest)
-        etl.publish(fresh, root, min_rows=0, version=version)
+        table.upsert(batch, f"{feed}-{batch_id:09d}")
+        if compact and table.compact():
+            table.vacuum()
 
     query = (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return table
 
 
 def stream_interval_join(
