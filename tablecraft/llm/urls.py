@@ -132,7 +132,9 @@ def judge(
     with the least hashes.  A null url is judged as an empty one.
     """
     rows = with_rule(with_host_and_path(pages.select(F.col(id_col), F.col(url_col).alias("url"))), rules)
-    text = F.substring_index(F.lower(F.coalesce("url", F.lit(""))), "://", -1)
+    whole = F.lower(F.coalesce("url", F.lit("")))
+    # What follows the first mark, other URLs inside included; all of it where there is none.
+    text = F.regexp_replace(whole, "^(?s:.*?)://", "")
 
     def labelled(verdict: str) -> list[str]:
         own = rows.filter(F.col("by_rule") == verdict).select(text.alias("text"))

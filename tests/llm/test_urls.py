@@ -56,3 +56,11 @@ def test_model_is_a_distribution():
     alphabet = set("abcdxyz\x03")
     rest = (0x110000 - len(alphabet)) * model.chance("ab", "\u1234")
     assert abs(sum(model.chance("ab", c) for c in alphabet) + rest - 1) < 1e-9
+
+
+def test_a_url_inside_a_url_is_judged_with_its_host(spark):
+    """The words that tell apart stand before the inner URL, which is the same for all."""
+    rows = [(i, f"http://h{i}.com/{'fr' if i % 2 else 'de'}/{'bonjour' if i % 2 else 'gutentag'}?u=http://same.io/") for i in range(300)]
+    rows += [(1000 + i, f"https://w.net/{'bonjour' if i % 2 else 'gutentag'}?u=http://same.io/\n{i}") for i in range(60)]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).filter("page_id >= 1000").collect()
+    assert sum((r.verdict == "allow") == bool(r.page_id % 2) for r in got) >= 57
