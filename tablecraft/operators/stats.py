@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.plans.ordered import framed, order_of, running
-from tablecraft.plans.quantiles import percentiles
+from tablecraft.plans.quantiles import buffered, percentiles
 from tablecraft.plans.skew import MAX_ROWS, Limit, attach, find_hot, with_scalars
 
 # 95 % normal quantile and the constants of the Wilson interval as written.
@@ -95,7 +95,7 @@ def zscore_flags(
 
 def mad_score(df: DataFrame, value: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """Distance from the median in median absolute deviations; NULL if that is 0."""
-    hot = find_hot(df, [], max_rows)
+    hot = find_hot(df, [], buffered(max_rows))
     if hot is None:
         # scalar subqueries: nothing runs before the rows are asked for
         middle = percentiles(df, [], value, {"median": 0.5}, max_rows=None).scalar()

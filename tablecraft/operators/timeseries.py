@@ -125,20 +125,43 @@ def detrend_dual(df: DataFrame, ts: str, value: str) -> DataFrame:
     return wide.withColumn("seasonality_adjusted", adjusted).drop("_dow", "_mon", "_dow_avg", "_mon_avg")
 
 
-def _smooth(alpha: float, value: str, out: str):
-    """Arrow batches sorted by group, ``_k`` = 1 on the first row of each group."""
+def _levels(values: np.ndarray, first: np.ndarray, alpha: float, before: float) -> np.ndarray:
+    """Smoothed levels of rows in order; ``first`` marks group starts, ``before`` is the level ahead of row 0.
+
+    Each row is a step ``level = share * level before + part``.  Steps compose, so the
+    steps over 1, 2, 4, ... rows are built by doubling, never across a group start.
+    """
     keep = 1 - alpha
+    part = np.where(first, values, alpha * values)
+    if len(part) and not first[0]:
+        part[0] += keep * before
+    at = np.arange(len(part))
+    start = np.maximum.accumulate(np.where(first, at, 0))
+    share = np.full(len(part), keep)
+    # a share that vanished would turn an infinite level into no number
+    least = np.finfo("float64").tiny if keep > 0 else 0.0
+    longest = int((at - start).max(initial=0))
+    step = 1
+    while step <= longest:
+        rows = at[at - start >= step]
+        part[rows] += share[rows] * part[rows - step]
+        share[rows] = np.maximum(share[rows] * share[rows - step], least)
+        step *= 2
+    return part
+
+
+def _smooth(alpha: float, value: str, out: str):
+    """Arrow batches sorted by group, ``_k`` = 1 on the first row of each group; one level is carried over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.nan
         for batch in batches:
-            starts = batch.column(batch.schema.get_field_index("_k")).to_numpy(zero_copy_only=False) == 1
+            first = batch.column(batch.schema.get_field_index("_k")).to_numpy(zero_copy_only=False) == 1
             values = batch.column(batch.schema.get_field_index(value)).cast(pa.float64()).to_numpy(zero_copy_only=False)
-            smooth = []
-            for first, v in zip(starts.tolist(), values.tolist()):
-                level = v if first else alpha * v + keep * level
-                smooth.append(level)
-            column = pa.array(np.array(smooth, dtype="float64"), from_pandas=True)
+            smooth = _levels(values, first, alpha, level)
+            if len(smooth):
+                level = smooth[-1]
+            column = pa.array(smooth, from_pandas=True)
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, out])
 
     return run

@@ -18,7 +18,7 @@ from tablecraft.functions.exprs import seconds_between
 from tablecraft.plans.ordered import (
     framed, last_known, next_known, order_of, ranked, running, tiles, time_framed,
 )
-from tablecraft.plans.quantiles import percentiles
+from tablecraft.plans.quantiles import buffered, percentiles
 from tablecraft.plans.skew import MAX_ROWS, Limit, attach, find_hot, over_group
 
 
@@ -267,7 +267,7 @@ def median_over(
     df: DataFrame, by: Sequence[str], col: str, out: str = "median", max_rows: Limit = MAX_ROWS
 ) -> DataFrame:
     """Interpolated median of the group beside each row."""
-    limit = find_hot(df, by, max_rows)
+    limit = find_hot(df, by, buffered(max_rows))
     return attach(df, percentiles(df, by, col, {out: 0.5}, max_rows=limit), by, "left", limit)
 
 

@@ -15,6 +15,11 @@ BUFFER_ROWS = 500_000
 ACCURACY = 10_000
 
 
+def buffered(max_rows: Limit) -> Limit:
+    """The row limit to look for before an exact percentile: never more than its buffer may hold."""
+    return min(max_rows, BUFFER_ROWS) if isinstance(max_rows, int) else max_rows
+
+
 def percentiles(
     df: DataFrame, by: Sequence[str], col: str, wanted: dict[str, float],
     approx: bool = False, max_rows: Limit = MAX_ROWS, beside: dict[str, Column] | None = None,
@@ -34,10 +39,7 @@ def percentiles(
         return df.groupBy(*by).agg(
             *more, *[F.percentile_approx(col, F.lit(p), F.lit(ACCURACY)).alias(n) for n, p in wanted.items()]
         )
-    if isinstance(max_rows, Hot):
-        hot = max_rows
-    else:
-        hot = find_hot(df, by, max_rows and min(max_rows, BUFFER_ROWS))
+    hot = find_hot(df, by, buffered(max_rows))
     if hot is None:
         return df.groupBy(*by).agg(*more, *[F.percentile(col, F.lit(p)).alias(n) for n, p in wanted.items()])
 

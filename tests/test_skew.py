@@ -7,6 +7,7 @@ table, has to be cut.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window as W
@@ -141,6 +142,18 @@ def test_percentile_brackets_on_many_rows(spark):
     assert plain.a == pytest.approx(cut.a) and plain.b == pytest.approx(cut.b)
 
 
+def test_exact_percentiles_keep_their_buffer_bound(spark):
+    """600,000 distinct values in one group, with the row limits that the operators have by default."""
+    big = spark.range(600_001).select(F.lit(1).alias("k"), (F.pmod(F.col("id") * 7919, F.lit(600_001)) * 1.0).alias("v"))
+    for out in (V.median_over(big, ["k"], "v"), percentiles(big, ["k"], "v", {"median": 0.5})):
+        assert " percentile(" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert [r.median for r in out.select("median").distinct().collect()] == [300_000.0]
+    scored = M.mad_score(big.select("v"), "v")
+    assert " percentile(" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.median, r.mad) for r in scored.select("median", "mad").distinct().collect()] == [(300_000.0, 150_000.0)]
+    assert "percentile(" in V.median_over(big.limit(10), ["k"], "v")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_over_group_and_attach(rows):
     both(lambda m: over_group(rows, ["user_id"], {"m": F.avg("value"), "x": F.max("maybe")}, m))
     per_key = rows.groupBy("user_id").agg(F.count("*").alias("n"))
@@ -173,6 +186,26 @@ def test_time_series_operators(rows):
     both(lambda m: M.mad_score(rows, "value", m))
 
 
+@pytest.mark.parametrize("alpha", [0.001, 0.1, 0.9, 1.0])
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 1000, 20_000])
+def test_ema_levels_by_doubling(alpha, n):
+    """What a loop over the rows gives, with groups of all sizes, missing and infinite values."""
+    rng = np.random.default_rng(n)
+    values = rng.normal(100, 30, n)
+    for share in (0.0, 0.001, 0.3):
+        first = rng.random(n) < share
+        for odd in (None, np.nan, np.inf):
+            if odd is not None and n > 3:
+                values[n // 3] = odd
+            level, wanted = 5.0, []
+            with np.errstate(invalid="ignore"):
+                for f, v in zip(first, values):
+                    level = v if f else alpha * v + (1 - alpha) * level
+                    wanted.append(level)
+                got = S._levels(values, first, alpha, 5.0)
+            np.testing.assert_allclose(got, np.array(wanted), rtol=1e-9)
+
+
 def test_ema_after_a_null_value(rows):
     holes = rows.filter("user_id = 7").withColumn("v", F.when(F.col("event_id") != 300, F.col("value")))
     both(lambda m: S.ema(holes, "user_id", "ts", "v", 0.2, max_rows=m))
