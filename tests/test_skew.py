@@ -7,7 +7,6 @@ table, has to be cut.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window as W
@@ -186,26 +185,6 @@ def test_time_series_operators(rows):
     both(lambda m: M.mad_score(rows, "value", m))
 
 
-@pytest.mark.parametrize("alpha", [0.001, 0.1, 0.9, 1.0])
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 1000, 20_000])
-def test_ema_levels_by_doubling(alpha, n):
-    """What a loop over the rows gives, with groups of all sizes, missing and infinite values."""
-    rng = np.random.default_rng(n)
-    values = rng.normal(100, 30, n)
-    for share in (0.0, 0.001, 0.3):
-        first = rng.random(n) < share
-        for odd in (None, np.nan, np.inf):
-            if odd is not None and n > 3:
-                values[n // 3] = odd
-            level, wanted = 5.0, []
-            with np.errstate(invalid="ignore"):
-                for f, v in zip(first, values):
-                    level = v if f else alpha * v + (1 - alpha) * level
-                    wanted.append(level)
-                got = S._levels(values, first, alpha, 5.0)
-            np.testing.assert_allclose(got, np.array(wanted), rtol=1e-9)
-
-
 def test_ema_after_a_null_value(rows):
     holes = rows.filter("user_id = 7").withColumn("v", F.when(F.col("event_id") != 300, F.col("value")))
     both(lambda m: S.ema(holes, "user_id", "ts", "v", 0.2, max_rows=m))
