@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions.exprs import seconds_between
 from tablecraft.plans.ordered import (
-    framed, last_known, next_known, order_of, ranked, running, tiles, time_framed,
+    framed, last_known, next_known, order_of, ranked, running, tiles, time_framed, time_totals,
 )
 from tablecraft.plans.quantiles import buffered, percentiles
 from tablecraft.plans.skew import MAX_ROWS, Limit, attach, find_hot, over_group
@@ -232,10 +232,8 @@ def rolling_sum_time(
     hot = find_hot(df, by, max_rows)
     if hot is None:
         return time_framed(df, by, ts, seconds, lambda w: {out: F.sum(col).over(w)}, None)
-    # rows of one time are one row while in order
-    points = df.groupBy(*by, ts).agg(F.sum(col).alias("_s"))
-    line = time_framed(points, by, ts, seconds, lambda w: {out: F.sum("_s").over(w)}, hot.max_rows)
-    return attach(df, line.drop("_s"), [*by, ts], "left", hot.max_rows)
+    line = time_totals(df, by, ts, seconds, {out: ("sum", col)}, hot)
+    return attach(df, line, [*by, ts], "left", hot.max_rows)
 
 
 def rolling_sums(

@@ -392,6 +392,104 @@ def time_framed(
     return wide.filter(F.col("_at") == F.col(PIECE)).drop("_us", "_at", "_until", "_reach", "_pos_us", PIECE, POS, HOT)
 
 
+#: Rows of a piece where a moving frame is read row by row.
+FRAME_ROWS = 10_000
+
+_MERGE: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def time_totals(
+    df: DataFrame, by: Sequence[str], ts: str, seconds: int, aggs: dict[str, tuple[str, str]],
+    max_rows: Limit = MAX_ROWS,
+) -> DataFrame:
+    """``sum``, ``count``, ``min`` or ``max`` over the last ``seconds``: one row per group and time.
+
+    A hot group is cut along its time.  A frame is the part of its own piece, the
+    part of the piece where it begins, and the pieces between.  The first is a frame
+    inside the piece; for the second the row asks that piece with one extra row,
+    however far the frame reaches; the third is put together from totals of 1, 2, 4,
+    ... neighbouring pieces, so nothing is subtracted and one table serves all four.
+    Rows without a time are the frame of each other.
+    """
+    by = list(by)
+    reach = seconds * 1_000_000
+    hot = find_hot(df, by, max_rows)
+    points = df.groupBy(*by, ts).agg(*[_RUN[fn](F.col(c)).alias(out) for out, (fn, c) in aggs.items()])
+    timed = points.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    if hot is None:
+        w = W.partitionBy(*by).orderBy("_us").rangeBetween(-reach, 0)
+        return timed.withColumns({out: _MERGE[fn](out).over(w) for out, (fn, _) in aggs.items()}).drop("_us")
+    rows, spread, levels = asked(timed, by, reach, list(aggs), hot)
+    asks = F.col("_asks")
+    piece = W.partitionBy(*by, "_at")
+    inside, onward = piece.orderBy("_time").rangeBetween(-reach, 0), piece.orderBy(F.desc("_time"))
+    read = spread.withColumns(
+        {f"_own_{out}": _MERGE[fn](out).over(inside) for out, (fn, _) in aggs.items()}
+        | {f"_edge_{out}": _MERGE[fn](out).over(onward.rangeBetween(W.unboundedPreceding, 0)) for out, (fn, _) in aggs.items()}
+    )
+    edges = read.groupBy(*by, ts).agg(
+        F.max("_from").alias("_from"), F.max(PIECE).alias("_to"),
+        *[F.max(F.when(~asks, F.col(f"_own_{out}"))).alias(f"_own_{out}") for out in aggs],
+        *[F.max(F.when(asks, F.col(f"_edge_{out}"))).alias(f"_edge_{out}") for out in aggs],
+    )
+
+    between = _totals_between(rows, edges, by, aggs, levels)
+    whole = join_keys(edges, between, [*by, "_from", "_to"], "left")
+    return whole.select(
+        *by, ts,
+        *[
+            _combine(fn, F.col(f"_mid_{out}"), _combine(fn, F.col(f"_edge_{out}"), F.col(f"_own_{out}"))).alias(out)
+            for out, (fn, _) in aggs.items()
+        ],
+    )
+
+
+def asked(timed: DataFrame, by: list[str], reach: int, cols: list[str], hot: Hot) -> tuple[DataFrame, DataFrame, int]:
+    """Rows in pieces, the same once as themselves and once where their frame begins, and the block sizes needed."""
+    fine = Hot(hot.groups, min(hot.max_rows, FRAME_ROWS))
+    rows, _, cuts = cut(timed.withColumn("_pos_us", F.col("_us").cast("double")), by, [("_pos_us", True)], fine, ties=False)
+    rows = _bucket(rows.withColumn("_start", F.col(POS) - reach), "_start", cuts, "_from").withColumn(
+        "_from", F.when(F.col(HOT).isNull() | F.col("_us").isNull(), F.col(PIECE)).otherwise(F.col("_from").cast("long"))
+    )
+    begins = F.when(F.col("_from") < F.col(PIECE), F.lit(True))
+    asks = F.col("_asks")
+    spread = rows.withColumn("_asks", F.explode(F.array_compact(F.array(F.lit(False), begins)))).withColumns(
+        {
+            "_at": F.when(asks, F.col("_from")).otherwise(F.col(PIECE)),
+            "_time": F.when(asks, F.col("_us") - reach).otherwise(F.col("_us")),
+            **{c: F.when(~asks, F.col(c)) for c in cols},
+        }
+    )
+    return rows, spread, len(cuts).bit_length()
+
+
+def _totals_between(rows: DataFrame, edges: DataFrame, by: list[str], aggs: dict, levels: int) -> DataFrame:
+    """Totals of the pieces strictly between ``_from`` and ``_to``, for the pairs that occur.
+
+    Both ends rise with time, so a group has at most twice as many pairs as pieces,
+    and a pair takes at most two blocks of each size.
+    """
+    totals = _piece_summary(rows.filter(F.col("_us").isNotNull()), by, [_MERGE[fn](out).alias(out) for out, (fn, _) in aggs.items()])
+    sized = totals.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    blocks = sized.groupBy(*by, "_level", F.expr(f"shiftright({PIECE}, _level)").alias("_block")).agg(
+        *[_MERGE[fn](out).alias(f"_mid_{out}") for out, (fn, _) in aggs.items()]
+    )
+    pairs = edges.filter("_to - _from > 1").select(*by, "_from", "_to").distinct()
+    # At size 2^k the open ends are ceil((_from + 1) / 2^k) and floor(_to / 2^k); an odd end is a block of its own.
+    ends = pairs.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumns(
+        {
+            "_low": F.expr("shiftright(_from + shiftleft(1L, _level), _level)"),
+            "_high": F.expr("shiftright(_to, _level)"),
+        }
+    ).filter("_low < _high")
+    taken = ends.withColumn(
+        "_block",
+        F.explode(F.array_compact(F.array(F.expr("IF(_low % 2 = 1, _low, NULL)"), F.expr("IF(_high % 2 = 1, _high - 1, NULL)")))),
+    ).drop("_low", "_high")
+    found = join_keys(taken, blocks, [*by, "_level", "_block"], "inner")
+    return found.groupBy(*by, "_from", "_to").agg(*[_MERGE[fn](f"_mid_{out}").alias(f"_mid_{out}") for out, (fn, _) in aggs.items()])
+
+
 def tiles(df: DataFrame, by: Sequence[str], order: Order, n: int, out: str, max_rows: Limit = MAX_ROWS) -> DataFrame:
     """NTILE from the row number and the group size."""
     hot = find_hot(df, by, max_rows)

@@ -17,7 +17,7 @@ from tablecraft.operators import joins as J
 from tablecraft.operators import stats as M
 from tablecraft.operators import timeseries as S
 from tablecraft.operators import windows as V
-from tablecraft.plans.ordered import cut, framed, next_known, order_of, ranked, running, tiles, time_framed
+from tablecraft.plans.ordered import asked, cut, framed, next_known, order_of, ranked, running, tiles, time_framed, time_totals
 from tablecraft.plans.quantiles import percentiles
 from tablecraft.plans.skew import attach, find_hot, over_group
 
@@ -113,18 +113,30 @@ def test_time_framed(rows):
     both(lambda m: time_framed(rows, ["user_id"], "hour", 20 * 86_400, lambda w: {"n": F.count("*").over(w)}, max_rows=m))
 
 
-def test_tiles(rows):
-    both(lambda m: tiles(rows, ["user_id"], order_of("value", "event_id"), 10, "t", max_rows=m))
-    plain = rows.withColumn("t", F.ntile(7).over(W.partitionBy("user_id").orderBy("value", "event_id")))
-    same(plain, tiles(rows, ["user_id"], order_of("value", "event_id"), 7, "t", max_rows=SMALL))
+TOTALS = {"s": ("sum", "value"), "n": ("count", "maybe"), "low": ("min", "maybe"), "high": ("max", "maybe")}
 
 
-@pytest.mark.parametrize("by", [["user_id"], ["event_type"], []])
-def test_percentiles(rows, by):
-    wanted = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    plain = percentiles(rows, by, "maybe", wanted, max_rows=None, beside={"n": F.count("*")})
-    cut = percentiles(rows, by, "maybe", wanted, max_rows=SMALL, beside={"n": F.count("*")})
-    same(plain, cut, by or "n")
+@pytest.mark.parametrize("seconds", [0, 3600, 86_400, 9 * 86_400, 4000 * 86_400])
+def test_time_totals(rows, seconds):
+    holes = rows.withColumn("ts", F.when(F.col("event_id") % 41 != 0, F.col("ts")))
+    for ts in ("ts", "hour"):
+        cut_, plain = (time_totals(holes, ["user_id"], ts, seconds, TOTALS, max_rows=m) for m in (SMALL, None))
+        assert sorted(cut_.columns) == sorted(plain.columns)
+        key = lambda r: (r.user_id is None, r.user_id, r[ts] is None, r[ts] or 0)
+        got, want = (sorted(d.select("user_id", ts, *TOTALS).collect(), key=lambda r: repr(key(r))) for d in (cut_, plain))
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            assert g[:2] == w[:2] and g.n == w.n and g.low == w.low and g.high == w.high
+            assert (g.s is None and w.s is None) or abs(g.s - w.s) < 1e-6
+
+
+def test_time_totals_copies_a_row_once_however_far_the_frame_reaches(rows):
+    points = rows.groupBy("user_id", "ts").agg(F.sum("value").alias("s")).withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    hot = find_hot(points, ["user_id"], SMALL)
+    in_pieces, spread, _ = asked(points, ["user_id"], 4000 * 86_400 * 1_000_000, ["s"], hot)
+    assert in_pieces.select("_piece").distinct().count() > 5
+    n = points.count()
+    assert in_pieces.count() == n < spread.count() <= 2 * n
 
 
 def test_percentiles_of_repeated_values(rows):
