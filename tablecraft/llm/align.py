@@ -1,11 +1,13 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Seeds are word n-grams of the test items.  First the corpus is counted: in how many
-documents each seed occurs.  Kept are the seeds in at most one of ``RARE`` documents
-and, of every ``STRETCH`` consecutive seeds of an item, the rarest: so every item keeps
-seeds over its whole length however frequent its passages are.  Documents that hold
+Seeds are word n-grams of the test items: of three words, or the whole of a shorter
+item.  First the corpus is counted: in how many documents each seed occurs.  An item
+of at most ``KEEP_ALL`` seeds keeps all of them.  A longer one keeps those in at most
+one of ``RARE`` documents and, of every ``STRETCH`` consecutive seeds, the rarest: so it
+keeps seeds over its whole length however frequent its passages are.  Documents that hold
 a kept seed give the passages around it, passages meet items by their seeds in a
-join, and each pair is aligned word by word.  Items stand in a table of any size; what
+join, and each pair is aligned word by word, unless so few of the item's words stand in
+the passage that no alignment can reach the cut.  Items stand in a table of any size; what
 tasks hold of them is a bitmap of seed hashes of a fixed number of bits, which only
 lets too many n-grams through, and the join is exact.
 """
@@ -28,6 +30,7 @@ from tablecraft.plans.storage import written
 
 NGRAM = 3
 STRETCH = 3
+KEEP_ALL = 256
 RARE = 1000
 #: Bits of the seed bitmap, as a power of two.
 BITS = 24
@@ -74,12 +77,13 @@ def _seed_worker(item_col: str):
     def worker(batches):
         hashes = WordHashes()
         for b in batches:
-            out = {n: [] for n in (item_col, "seed", "at", "size")}
+            out = {n: [] for n in (item_col, "seed", "at", "n", "size")}
             for item, text in zip(b[item_col], b["_text"]):
                 words = text.split()
-                grams = gram_hashes(hashes(words), min(NGRAM, len(words))) if words else ()
+                n = min(NGRAM, len(words))
+                grams = gram_hashes(hashes(words), n) if words else ()
                 for at, g in enumerate(np.asarray(grams, np.uint64).view(np.int64).tolist()):
-                    for name, value in zip(out, (item, g, at, len(words))):
+                    for name, value in zip(out, (item, g, at, n, len(words))):
                         out[name].append(value)
             yield out
 
@@ -100,24 +104,36 @@ def _hits(packed: np.ndarray, grams: np.ndarray, bits: int) -> np.ndarray:
     return np.flatnonzero(packed[low >> 3] >> (low & 7).astype(np.uint8) & 1)
 
 
-def rare_seeds(docs: DataFrame, items: DataFrame, item_col: str, text_col: str, bits: int = BITS) -> DataFrame:
-    """``(item, seed, size)``: the rare seeds, and per stretch of an item's seeds the one in fewest documents."""
+def _lengths(seeds: DataFrame) -> list[int]:
+    """The seed lengths that occur: at most ``NGRAM`` numbers."""
+    return sorted(r[0] for r in seeds.select("n").distinct().collect())
+
+
+def rare_seeds(
+    docs: DataFrame, items: DataFrame, item_col: str, text_col: str, bits: int = BITS, keep_all: int = KEEP_ALL
+) -> DataFrame:
+    """``(item, seed, n, size)``: all seeds of items of at most ``keep_all``, the rare and spread ones of longer items."""
     fields = [
         *fields_of(items, item_col), T.StructField("seed", T.LongType()), T.StructField("at", T.IntegerType()),
-        T.StructField("size", T.IntegerType()),
+        T.StructField("n", T.IntegerType()), T.StructField("size", T.IntegerType()),
     ]
     rows = items.select(item_col, as_bytes(text_col).alias("_text"))
     seeds = written(map_rows(rows, fields, _seed_worker(item_col)), "seeds")
-    packed = _bitmap(seeds, bits)
+    short = F.col("size") < keep_all + NGRAM
+    long_ones = seeds.filter(~short)
+    kept = seeds.filter(short)
+    columns = [item_col, "seed", "n", "size"]
+    # Only seeds that may be left out have to be counted.
+    if long_ones.isEmpty():
+        return kept.select(*columns).distinct()
+    packed = _bitmap(long_ones, bits)
 
     def count(batches):
         hashes, tally = WordHashes(), Counter()
         for b in batches:
             for text in b["_text"]:
-                words = hashes(text.split())
-                for n in range(1, NGRAM + 1) if len(words) <= NGRAM else (NGRAM,):
-                    grams = gram_hashes(words, n)
-                    tally.update(np.unique(grams[_hits(packed, grams, bits)]).tolist())
+                grams = gram_hashes(hashes(text.split()))
+                tally.update(np.unique(grams[_hits(packed, grams, bits)]).tolist())
             if len(tally) > 200_000:
                 yield {"seed": np.array(list(tally), np.uint64).view(np.int64).tolist(), "docs": list(tally.values())}
                 tally = Counter()
@@ -127,13 +143,12 @@ def rare_seeds(docs: DataFrame, items: DataFrame, item_col: str, text_col: str,
         docs.select(as_bytes("text").alias("_text")),
         [T.StructField("seed", T.LongType()), T.StructField("docs", T.LongType())], count,
     ).groupBy("seed").agg(F.sum("docs").alias("docs"))
-    known = seeds.join(counts, "seed", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
+    known = long_ones.join(counts, "seed", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
     rare = F.col("docs") * RARE <= docs.count()
     stretch = W.partitionBy(item_col, F.floor(F.col("at") / STRETCH)).orderBy("docs", "at")
-    return written(
-        known.withColumn("_k", F.row_number().over(stretch)).filter((F.col("_k") == 1) | rare).select(item_col, "seed", "size").distinct(),
-        "rare-seeds",
-    )
+    spread = known.withColumn("_k", F.row_number().over(stretch)).filter((F.col("_k") == 1) | rare)
+    return written(kept.select(*columns).unionByName(spread.select(*columns)).distinct(), "rare-seeds")
+
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int, int]:
@@ -165,19 +180,21 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int, int]:
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text", cut: float = CUT, bits: int = BITS,
+    item_text: str = "text", cut: float = CUT, bits: int = BITS, keep_all: int = KEEP_ALL,
 ) -> DataFrame:
     """One row per document and test item that it holds a copy of.
 
     Columns: id, item, score (0 to 1), n_matched (words that agree), first_word and
     end_word (of the best passage, in words of the document).  Null and empty texts
-    hold nothing and are held by nothing; rows of one id count as one document.
+    hold nothing and are held by nothing; rows of one id count as one document.  An item
+    of one or two words is a copy wherever its words stand in that order.
     """
     docs = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     items = items.select(F.col(item_col), F.col(item_text).alias("item_text"))
-    seeds = rare_seeds(docs, items, item_col, "item_text", bits)
+    seeds = rare_seeds(docs, items, item_col, "item_text", bits, keep_all)
     packed = _bitmap(seeds, bits)
     widest = seeds.agg(F.max("size")).first()[0] or 0
+    lengths = _lengths(seeds)
 
     def passages(batches):
         hashes = WordHashes()
@@ -188,7 +205,7 @@ def contaminated(
                 words = text.split()
                 own = hashes(words)
                 found = []
-                for n in range(1, NGRAM + 1) if len(words) <= NGRAM else (NGRAM,):
+                for n in lengths:
                     grams = gram_hashes(own, n)
                     found += [(int(i), int(g)) for i in _hits(packed, grams, bits) for g in grams[i : i + 1].view(np.int64)]
                 found.sort()
@@ -220,7 +237,11 @@ def contaminated(
         for b in batches:
             out = {n: [] for n in (id_col, item_col, "score", "n_matched", "first_word", "end_word")}
             for doc, item, at, words, text in zip(b[id_col], b[item_col], b["at"], b["words"], b["item_text"]):
-                value, start, end, agree = align(hashes(text.encode().split()), hashes(words.encode().split()))
+                own, passage = hashes(text.encode().split()), hashes(words.encode().split())
+                # Each word of the item that agrees counts once, so this bounds the score.
+                if not len(own) or np.isin(own, passage).mean() < cut:
+                    continue
+                value, start, end, agree = align(own, passage)
                 if value >= cut:
                     for name, v in zip(out, (doc, item, value, agree, at + start, at + end)):
                         out[name].append(v)

@@ -79,6 +79,31 @@ def test_frequent_passages_and_coarse_bitmaps_lose_nothing(spark):
     assert got == {(r.doc_id, r.item_id) for r in align.contaminated(both, items).collect()}
 
 
+def test_items_of_one_or_two_words_inside_longer_documents(spark):
+    items = spark.createDataFrame([(1, "Xylograph"), (2, "zebra crossing"), (3, prose(3, 2))], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"{prose(70, 4)} xylograph, {prose(71, 4)}"), (2, f"{prose(72, 3)} Zebra crossing! {prose(73)}"), (3, prose(74, 9))],
+        "doc_id long, text string",
+    )
+    got = {(r.doc_id, r.item_id): r.score for r in align.contaminated(docs, items).collect()}
+    assert got == {(1, 1): 1.0, (2, 2): 1.0}
+
+
+def test_copies_that_keep_a_single_frequent_seed(spark):
+    """Two words agree and one differs, but for one place of three words, which many documents hold."""
+    words = [f"w{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    rows = []
+    for at in range(0, 27, 3):
+        copy = [w if at <= i < at + 3 or (i % 3 != 2 and i != at + 3) else "other" for i, w in enumerate(words)]
+        rows.append((at, f"{prose(at)} {' '.join(copy)} {prose(at + 40)}"))
+    rows += [(100 + i, f"{prose(i + 200)} {' '.join(words[i % 27 : i % 27 + 3])}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in align.contaminated(docs, items).collect()} == set(range(0, 27, 3))
+    long_item = {r.doc_id for r in align.contaminated(docs, items, keep_all=5).collect()}
+    assert long_item < set(range(0, 27, 3))
+
+
 def test_odd_tables(spark):
     _, items, *_ = fixture(spark)
     docs = odd_documents(spark)
