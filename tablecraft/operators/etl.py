@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecraft.plans.skew import MAX_ROWS, Limit, over_group, with_scalars
-from tablecraft.plans.storage import path_exists, remove_path, shared_dir
+from tablecraft.plans.storage import child_names, modified_at, path_exists, remove_path, shared_dir
 from tablecraft.sources.tables import MAX_RECORDS_PER_FILE, folder_values
 
 
@@ -57,7 +57,7 @@ def publish(df: DataFrame, root: str, min_rows: int = 1, version: str | None = N
     """Write a new version, check it, and only then make it the current one.
 
     Readers see the old version until the pointer moves; old versions stay for
-    :func:`rollback`.  A named version may be written again, which makes a
+    :func:`rollback` until :func:`clear_versions` removes them.  A named version may be written again, which makes a
     repeated job safe.
     """
     spark = df.sparkSession
@@ -98,6 +98,55 @@ def rollback(spark: SparkSession, root: str) -> str:
     return earlier
 
 
+def clear_versions(
+    spark: SparkSession, root: str, keep: int = 2, grace: dt.timedelta = dt.timedelta(days=1), files: int = 16
+) -> list[str]:
+    """Remove versions that no one needs and merge the pointer log; gives the removed versions.
+
+    Kept are the last ``keep`` different versions and every version that was current
+    within ``grace``: a reader that resolved one just before it was replaced has that
+    long to finish.  A folder that changed within ``grace`` stays too, since its
+    publication may be under way; older ones that were never published are refused loads.
+    Pointers that are still of use are written again as one file once there are more
+    than ``files``; the files it stands for go when that file is older than ``grace``.
+    """
+    if keep < 2 and grace <= dt.timedelta(0):
+        raise ValueError("keep two versions or some time, or nothing is left to go back to")
+    limit = _now() - grace
+    pointers = _pointers(spark, root)
+    recent = pointers.filter(F.col("published_at") >= F.lit(limit))
+    before = _latest(pointers.filter(F.col("published_at") < F.lit(limit))).seq
+    last = pointers.groupBy("version").agg(F.max("seq").alias("seq")).orderBy(F.desc("seq")).limit(max(keep, 1))
+    # bounded by ``keep`` and the publications of one ``grace``
+    seqs = {r.seq for r in recent.select("seq").union(last.select("seq")).collect()} | ({before} - {None})
+    living = pointers.filter(F.col("seq").isin(sorted(seqs))).distinct().collect() if seqs else []
+    gone = []
+    for version in set(child_names(spark, f"{root}/versions")) - {r.version for r in living}:
+        if modified_at(spark, f"{root}/versions/{version}") <= limit.timestamp():
+            remove_path(spark, f"{root}/versions/{version}")
+            gone.append(version)
+    if seqs:
+        _merge_pointers(spark, root, living, limit, files)
+    return sorted(gone)
+
+
+def _merge_pointers(spark: SparkSession, root: str, living: list, limit: dt.datetime, files: int) -> None:
+    held = _pointers(spark, root).groupBy(F.col("_metadata.file_name").alias("name")).agg(
+        F.max("_metadata.file_modification_time").alias("at"), F.max("seq").alias("seq"), F.count(F.lit(1)).alias("n")
+    ).withColumn("old", F.col("at") <= F.lit(limit)).collect()
+    # A publication is a file of one row; a file of more stands for all up to its last.
+    merged = [r for r in held if r.n > 1 and r.old]
+    whole = max(merged, key=lambda r: (r.seq, r.at), default=None)
+    left = len(held)
+    for r in held:
+        if whole and r.name != whole.name and r.seq <= whole.seq and r.at <= whole.at:
+            remove_path(spark, f"{root}/pointer/{r.name}")
+            left -= 1
+    young = any(r.n > 1 and not r.old for r in held)
+    if left > files and not young and len(living) > 1:
+        spark.createDataFrame(living, _POINTER).coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+
+
 # -- job log -----------------------------------------------------------------
 
 _HISTORY = (

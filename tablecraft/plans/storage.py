@@ -62,6 +62,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 of the last change of a file, or of what a folder directly holds."""
+    fs, target = _path(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, target = _path(spark, path)
     fs.delete(target, True)

@@ -138,6 +138,29 @@ def hash_partitioned(t):
     return t.spark.read.parquet(path).drop("bucket")
 
 
+def bucketed(t, n=8):
+    """Orders and line items as tables of equal buckets."""
+    tables = []
+    for table, key in ((t.orders, "o_orderkey"), (t.lineitem, "l_orderkey")):
+        name = f"{key[0]}_bucketed_{uuid.uuid4().hex[:8]}"
+        tables.append(S.write_bucketed(table, name, shared_dir(t.spark, name), key, n))
+    return tables
+
+
+@query(
+    "sc9_bucketed_join",
+    """
+    SELECT o_orderkey, o_orderpriority, n_lines, last_ship FROM orders
+    JOIN (SELECT l_orderkey, count(*) AS n_lines, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey
+    """,
+)
+def bucketed_join(t):
+    orders, lines = bucketed(t)
+    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("last_ship"))
+    joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.select("o_orderkey", "o_orderpriority", "n_lines", "last_ship")
+
+
 @query(
     "sc10_detach_attach",
     """

@@ -151,6 +151,19 @@ def write_hash_partitioned(df: DataFrame, path: str, key: str, n: int = 3, bucke
     _by_partition(placed, bucket).mode("overwrite").partitionBy(bucket).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, n: int) -> DataFrame:
+    """A table of ``n`` buckets by a hash of the key, each one file sorted by it.
+
+    Tables with the same key and number of buckets are joined, and any of them is
+    aggregated by the key, without a shuffle.  Choose ``n`` so that a bucket is some
+    hundred MB; a key with a large share of the rows fills one bucket, so such tables
+    belong in :func:`write_hash_partitioned` folders or are salted first.
+    """
+    spread = df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet")
+    spread.option("path", path).mode("errorifexists").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def partitioned_table(spark: SparkSession, name: str, path: str, schema: str, by: str) -> None:
     """Register a folder layout as an external table with its partitions."""
     spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")

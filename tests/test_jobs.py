@@ -15,6 +15,36 @@ def values(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
+def test_old_versions_go_and_the_pointer_log_stays_short(spark, tmp_path):
+    root, now = str(tmp_path / "t"), dt.timedelta(0)
+    for k in range(1, 7):
+        L.publish(spark.range(k), root, version=f"v{k}")
+    with pytest.raises(L.GateFailed):
+        L.publish(spark.range(0), root, version="refused")
+    assert L.clear_versions(spark, root) == []  # all were current within a day
+    reader = L.current(spark, root)
+    assert L.clear_versions(spark, root, keep=3, grace=now, files=4) == ["refused", "v1", "v2", "v3"]
+    assert L.clear_versions(spark, root, keep=3, grace=now, files=4) == []
+    assert len(list((tmp_path / "t" / "pointer").glob("*.parquet"))) == 1
+    assert reader.count() == 6 and L.current(spark, root).count() == 6
+    L.publish(spark.range(7), root, version="v7")
+    assert L.rollback(spark, root) == "v6" and L.current(spark, root).count() == 6
+    assert L.clear_versions(spark, root, keep=2, grace=now) == ["v4", "v5"]
+    assert L.rollback(spark, root) == "v7"
+    with pytest.raises(ValueError):
+        L.clear_versions(spark, root, keep=1, grace=now)
+
+
+def test_a_reader_may_finish_what_was_current_within_the_grace(spark, tmp_path):
+    root = str(tmp_path / "t")
+    L.publish(spark.range(1), root, version="a")
+    reader = L.current(spark, root)
+    for k in "bcd":
+        L.publish(spark.range(2), root, version=k)
+    assert L.clear_versions(spark, root, keep=2, grace=dt.timedelta(minutes=10)) == [] and reader.count() == 1
+    assert L.clear_versions(spark, str(tmp_path / "nothing")) == []
+
+
 def test_refused_publication_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "t")
     with pytest.raises(FileNotFoundError):

@@ -82,3 +82,18 @@ def test_one_shuffle_for_several_frames(tables):
     for before in (2, 6):
         df = V.moving_avg(df, ["user_id"], ["ts"], "value", before, 0, f"b{before}")
     assert plan(df).count("Exchange") == 1
+
+
+def test_tables_of_equal_buckets_meet_without_a_shuffle(spark, tables):
+    from tablecraft.queries.sources import bucketed
+
+    orders, lines = bucketed(tables)
+    joined = orders.join(lines.groupBy("l_orderkey").count(), orders.o_orderkey == lines.l_orderkey)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert joined.count() == lines.select("l_orderkey").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
