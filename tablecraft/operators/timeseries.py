@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tablecraft.functions.exprs import cyclic, dow0, seconds_between, width_bucket_col
 from tablecraft.plans.ordered import PIECE, cut, framed, last_known, next_known, order_of, running
 from tablecraft.plans.quantiles import percentiles
-from tablecraft.plans.skew import HOT, MAX_ROWS, Limit, attach, find_hot, join_keys, with_scalars
+from tablecraft.plans.skew import HOT, MAX_ROWS, Hot, Limit, attach, find_hot, join_keys, with_scalars
 
 
 def bucket_start(ts: str, seconds: int) -> Column:
@@ -193,22 +193,43 @@ def ema(
 _GRID_CHUNK = 10_000
 
 
-def _grid(latest: DataFrame, keys: DataFrame, key: str, seconds: int, low: str, high: str) -> DataFrame:
-    """One row per key and step; ``low`` and ``high`` are columns of ``keys``.
+def _filled_grid(
+    latest: DataFrame, keys: DataFrame, key: str, seconds: int, low: str, high: str, out: str, max_rows: Limit
+) -> DataFrame:
+    """One row per key and step with the last known ``_v``; ``low`` and ``high`` are columns of ``keys``.
 
-    A key's steps are made in two moves, chunks and then steps, so no cell is as long
-    as a grid.
+    A grid is regular, so it is cut into chunks of equal length by the number of the
+    step.  A chunk begins with what the chunks before it hand on, and the known values
+    inside end one stretch of equal steps and begin the next; stretches are spread to
+    steps at last.  Known values and one row per chunk are sent and sorted, never the
+    grid, and no cell or window is longer than a chunk.
     """
+    limit = max_rows.max_rows if isinstance(max_rows, Hot) else max_rows
+    size = min(limit or _GRID_CHUNK, _GRID_CHUNK)
     step = F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
+    chunk = F.floor(F.col("_slot") / size).alias("_chunk")
     last = F.floor(seconds_between(high, low) / seconds)
-    chunks = keys.withColumn("_last", last).select(
-        key, low, "_last", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(_GRID_CHUNK).cast("long"))).alias("_from")
+    firsts = F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(size).cast("long"))
+    chunks = keys.withColumn("_last", last).select(key, low, "_last", F.explode(firsts).alias("_slot")).select("*", chunk)
+    known = latest.filter("_slot IS NOT NULL AND _v IS NOT NULL").select(key, chunk, "_slot", "_v", F.lit(1).alias("_seen"))
+
+    handed = known.groupBy(key, "_chunk").agg(F.max_by("_v", "_slot").alias("_end"))
+    # one row per chunk
+    earlier = W.partitionBy(key).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    begins = join_keys(chunks, handed, [key, "_chunk"], "left").select(
+        *chunks.columns, F.last("_end", ignorenulls=True).over(earlier).alias("_v"), F.lit(0).alias("_seen")
     )
-    ends = F.least(F.col("_last"), F.col("_from") + _GRID_CHUNK - 1)
-    # spread out before the steps are made: a chunk is a row, a step is one too
-    spots = chunks.hint("rebalance").select(key, low, F.explode(F.sequence(F.col("_from"), ends)).alias("_slot"))
-    filled = join_keys(spots, latest, [key, "_slot"], "left")
-    return filled.withColumn("bucket_ts", F.col(low) + step * F.col("_slot"))
+    # a row here is up to a chunk of rows later: AQE, which sees bytes, would merge too many into one task
+    conf = latest.sparkSession.conf
+    spread = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    points = begins.unionByName(known, allowMissingColumns=True).repartition(int(spread), key, "_chunk")
+    inside = W.partitionBy(key, "_chunk").orderBy("_slot", "_seen")
+    chunk_end = F.least(F.first("_last").over(inside), F.col("_chunk") * size + (size - 1))
+    stretches = points.withColumns(
+        {low: F.first(low).over(inside), "_until": F.coalesce(F.lead("_slot").over(inside) - 1, chunk_end)}
+    ).filter("_slot <= _until")
+    steps = stretches.select(key, low, F.col("_v").alias(out), F.explode(F.sequence("_slot", "_until")).alias("_slot"))
+    return steps.withColumn("bucket_ts", F.col(low) + step * F.col("_slot"))
 
 
 def grid_ffill(
@@ -219,16 +240,14 @@ def grid_ffill(
 
     Each bucket shows its latest value, or the last known one before it; buckets
     before the key's first value are NULL.  Rows are reduced to one per bucket
-    first; a grid longer than ``max_rows`` is scanned in pieces.  A NULL key is a
+    first; a grid is filled in chunks of at most ``max_rows`` steps.  A NULL key is a
     key like any other.
     """
     span = df.agg(F.min(ts).alias("_low"), F.max(ts).alias("_high"))
     placed = with_scalars(df, span).withColumn("_slot", F.floor(seconds_between(ts, "_low") / seconds))
     latest = placed.groupBy(key, "_slot").agg(F.max_by(value, F.struct(ts, *tie)).alias("_v"))
     keys = with_scalars(df.select(key).distinct(), span)
-    grid = _grid(latest, keys, key, seconds, "_low", "_high")
-    filled = last_known(grid, [key], order_of("_slot"), {out: "_v"}, max_rows=max_rows)
-    return filled.select(key, "bucket_ts", out)
+    return _filled_grid(latest, keys, key, seconds, "_low", "_high", out, max_rows).select(key, "bucket_ts", out)
 
 
 def gap_fill_prev(
@@ -238,8 +257,7 @@ def gap_fill_prev(
     spans = df.groupBy(key).agg(F.min(ts).alias("_low"), F.max(ts).alias("_high"))
     placed = attach(df, spans, [key], "inner", max_rows).withColumn("_slot", F.floor(seconds_between(ts, "_low") / seconds))
     latest = placed.groupBy(key, "_slot").agg(F.max_by(value, F.struct(ts, *tie)).alias("_v"))
-    grid = _grid(latest, spans, key, seconds, "_low", "_high")
-    filled = last_known(grid, [key], order_of("_slot"), {"_filled": "_v"}, max_rows=max_rows)
+    filled = _filled_grid(latest, spans, key, seconds, "_low", "_high", "_filled", max_rows)
     return filled.select(key, F.col("bucket_ts").alias(ts), F.col("_filled").alias(value))
 
 

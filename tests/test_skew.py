@@ -7,6 +7,8 @@ table, has to be cut.
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pandas as pd
 import pytest
 from pyspark.sql import Window as W
@@ -241,3 +243,22 @@ def test_string_parts_make_the_whole(rows):
     parts = A.string_agg_parts(rows, ["user_id"], "event_id", ["ts"], 7, max_rows=SMALL)
     glued = A.string_agg(parts, ["user_id"], "listed", ["part"], out="listed")
     same(whole, glued, "user_id")
+
+
+def test_grids_whose_keys_share_every_step_are_not_sorted(spark, monkeypatch):
+    """No cut points are looked for, and what is sent are values and chunks, however long the grids are."""
+    from tablecraft.plans import ordered
+
+    monkeypatch.setattr(ordered, "_cuts", lambda *_: pytest.fail("grids are cut by the number of the step"))
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [(k, at(s), v) for k in (*range(30), None) for s, v in ((0, 1.0), (400 + (k or 0), None), (700, 2.0), (705, 3.0), (999, None))]
+    df = spark.createDataFrame([*rows, (99, None, 4.0)], "k int, ts timestamp_ntz, v double")
+    for size in (1, 7, 100, 999, 1000, None):
+        got = S.grid_ffill(df, "k", "ts", "v", 1, max_rows=size)
+        want = [1.0] * 700 + [2.0] * 5 + [3.0] * 295
+        for k in (0, 29, None):
+            own = got.filter(F.col("k").eqNullSafe(F.lit(k))).orderBy("bucket_ts").collect()
+            assert [r.imputed_value for r in own] == want and [r.bucket_ts for r in own] == [at(s) for s in range(1000)], (size, k)
+        none = got.filter("k = 99").collect()
+        assert len(none) == 1000 and {r.imputed_value for r in none} == {None}
+        assert S.gap_fill_prev(df, "k", "ts", "v", 1, max_rows=size).count() == 31_000
