@@ -139,8 +139,8 @@ def hash_partitioned(t):
 
 
 def bucketed(t, n=8):
-    """Orders and line items as tables of equal buckets."""
-    tables = []
+    """Orders and line items as tables of equal buckets, ``n`` or as many more as their rows need."""
+    tables, n = [], max(n, S.buckets_for(t.orders, t.lineitem))
     for table, key in ((t.orders, "o_orderkey"), (t.lineitem, "l_orderkey")):
         name = f"{key[0]}_bucketed_{uuid.uuid4().hex[:8]}"
         tables.append(S.write_bucketed(table, name, shared_dir(t.spark, name), key, n))

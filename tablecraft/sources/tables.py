@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
@@ -151,12 +152,22 @@ def write_hash_partitioned(df: DataFrame, path: str, key: str, n: int = 3, bucke
     _by_partition(placed, bucket).mode("overwrite").partitionBy(bucket).parquet(path)
 
 
+#: Rows of a bucket, and the buckets that Spark allows a table.
+BUCKET_ROWS, MAX_BUCKETS = 500_000, 100_000
+
+
+def buckets_for(*tables: DataFrame, rows: int | None = None) -> int:
+    """Buckets for tables that meet by their key, by the rows of the longest: a task's share stays the same as they grow."""
+    longest = max(table.count() for table in tables)
+    return min(MAX_BUCKETS, max(1, math.ceil(longest / (rows or BUCKET_ROWS))))
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, key: str, n: int) -> DataFrame:
     """A table of ``n`` buckets by a hash of the key, each one file sorted by it.
 
     Tables with the same key and number of buckets are joined, and any of them is
-    aggregated by the key, without a shuffle.  Choose ``n`` so that a bucket is some
-    hundred MB; a key with a large share of the rows fills one bucket, so such tables
+    aggregated by the key, without a shuffle.  Choose ``n`` by :func:`buckets_for`, the
+    same for all of them; a key with a large share of the rows fills one bucket, so such tables
     belong in :func:`write_hash_partitioned` folders or are salted first.
     """
     spread = df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet")

@@ -97,3 +97,17 @@ def test_tables_of_equal_buckets_meet_without_a_shuffle(spark, tables):
         assert joined.count() == lines.select("l_orderkey").distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_buckets_grow_with_the_rows(spark, tables, monkeypatch):
+    from tablecraft.queries.sources import bucketed
+    from tablecraft.sources import tables as S
+
+    assert len(bucketed(tables)[1].inputFiles()) == 8
+    monkeypatch.setattr(S, "BUCKET_ROWS", 250)
+    rows = tables.lineitem.count()
+    orders, lines = bucketed(tables)
+    wanted = -(-rows // 250)
+    assert S.buckets_for(tables.orders, tables.lineitem) == wanted == len(lines.inputFiles())
+    most = lines.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert most < 3 * 250 and lines.count() == rows and orders.count() == tables.orders.count()
