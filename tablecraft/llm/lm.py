@@ -20,24 +20,25 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tablecraft.llm.text import as_bytes, fields_of, map_rows, words_of
+from tablecraft.llm.text import as_bytes, fields_of, map_rows
 from tablecraft.plans.storage import written
 
 HEAD, CLASS_WORDS, TAIL_CLASSES, HIDDEN = 1024, 32, 32, 24
 KNOWN = 200_000
-LANES, WINDOW = 256, 32
-#: Tokens that a task scores side by side, and holds.
-SIDE_BY_SIDE = 2_000_000
+LANES, WINDOW = 512, 32
+#: Bytes of texts that a task cuts into words and scores side by side; a longer text is a part of its own.
+PART_BYTES = 12_000_000
 #: The training documents are dealt out to the rounds, so that these cover all of them: ROUNDS rounds for up to
 #: MANY replicas, and one more for each eight times as many. PASSES: of a task over its documents.
 ROUNDS, MANY, PASSES = 2, 32, 1
@@ -52,19 +53,39 @@ ADD = 0.1
 END = b""
 
 
+def parts_of(texts: list[bytes]) -> Iterator[slice]:
+    """Neighbouring texts of together about PART_BYTES."""
+    at = held = 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= PART_BYTES or k + 1 == len(texts):
+            yield slice(at, k + 1)
+            at, held = k + 1, 0
+
+
+def words_in(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts one after the other, as :func:`tablecraft.llm.text.words_of` has them, and how many each text has.
+
+    Arrow's kernels for ASCII leave all other bytes as they are.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    words, ends = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.binary_length(words).to_numpy() > 0  # space at either end of a text gives an empty word
+    if real.all():
+        return words, np.diff(ends)
+    return words.filter(pa.array(real)), np.diff(np.concatenate([[0], np.cumsum(real)])[ends])
+
+
 def count_words(train: DataFrame) -> DataFrame:
     """``(word, n)`` over all texts of ``_text``, the end token included; tasks add up before they send."""
 
     def worker(batches):
-        tally = Counter()
         for b in batches:
-            tally[END] += len(b["_text"])
-            for text in b["_text"]:
-                tally.update(words_of(text))
-            if len(tally) > 250_000:
-                yield {"word": list(tally), "n": list(tally.values())}
-                tally = Counter()
-        yield {"word": list(tally), "n": list(tally.values())}
+            for part in parts_of(b["_text"]):
+                texts = b["_text"][part]
+                found = pc.value_counts(words_in(texts)[0])
+                yield {"word": found.field("values").view(pa.binary()), "n": found.field("counts")}
+                yield {"word": [END], "n": [len(texts)]}
 
     fields = [T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]
     return map_rows(train.select("_text"), fields, worker).groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
@@ -93,6 +114,7 @@ class Vocabulary:
         self.head_classes = -(-self.head // CLASS_WORDS)
         self.classes = self.head_classes + len(self.mass)
         words = list(self.ranks)
+        self.words = pa.array(words, pa.binary()).view(pa.string())
         #: Input number and class of each known word.
         self.symbol = np.arange(len(words), dtype=np.int32)
         self.symbol[self.head :] = [self.head + self.tail_class(w) for w in words[self.head :]]
@@ -181,83 +203,118 @@ class Network:
         self.moments: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         self.steps = 0
 
-    def step(self, x, h):
-        g = h @ self.w["state"]
-        gates = 1 / (1 + np.exp(-(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])))
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-        return n + z * (h - n), z, r, n, g[:, 2 * HIDDEN :]
+    def gates(self):
+        """Tables of the inputs, one below the other, and of the state, by gate: update, reset, new."""
+        inputs, state = (np.ascontiguousarray(self.w[k].reshape(-1, 3, HIDDEN).swapaxes(0, 1)) for k in ("inputs", "state"))
+        return inputs.reshape(-1, HIDDEN), state
+
+    def by_gate(self, table, symbols):
+        """Rows of the inputs, for each step by gate and lane."""
+        at = symbols[..., None, :] + (np.arange(3) * self.v.inputs)[:, None]
+        return table.take(at, axis=0)
+
+    def step(self, x, h, state, g, n, new):
+        """The next state, with what it came from, into ``g`` (gates and the state's part of the third), ``n`` and ``new``."""
+        np.matmul(h, state, out=g)
+        gates = g[:2]
+        gates += x[:2]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        z, r = np.reciprocal(gates, out=gates)
+        np.multiply(r, g[2], out=n)
+        n += x[2]
+        np.tanh(n, out=n)
+        np.subtract(h, n, out=new)
+        new *= z
+        new += n
+        return new
 
     def classes_of(self, symbols):
         return np.where(symbols < self.v.head, symbols // CLASS_WORDS, symbols - self.v.head + self.v.head_classes)
 
     def outputs(self, hs, targets, grads=None):
-        """Natural-log chance of each target given its state; with ``grads`` also the gradient of the loss."""
+        """Natural-log chance of each target given its state; with ``grads`` also the gradient of the loss.
+
+        Softmaxes stand upright, a column per target, so that their sums run along the memory.
+        """
         w, rows = self.w, np.arange(len(hs))
         own = self.classes_of(targets)
-        logits = hs @ w["classes"] + w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        norm = p.sum(axis=1)
-        out = logits[rows, own] - np.log(norm)
+        p = w["classes"].T @ hs.T
+        p += w["class_bias"][:, None]
+        out, norm = _softmax(p, own, rows)
         if grads is not None:
-            p /= norm[:, None]
-            p[rows, own] -= 1
-            grads["classes"] += hs.T @ p
-            grads["class_bias"] += p.sum(axis=0)
-            back = p @ w["classes"].T
-        order = np.argsort(own, kind="stable")
+            p /= norm
+            p[own, rows] -= 1
+            grads["classes"] += (p @ hs).T
+            grads["class_bias"] += p.sum(axis=1)
+            back = p.T @ w["classes"].T
+        order = np.argsort(own.astype(np.int16), kind="stable")
         ends = np.searchsorted(own[order], np.arange(self.v.head_classes + 1))
-        for c in range(self.v.head_classes):
-            at = order[ends[c] : ends[c + 1]]
-            if not len(at):
-                continue
-            block = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-            inner = hs[at] @ w["words"][block].T + w["word_bias"][block]
-            inner -= inner.max(axis=1, keepdims=True)
-            q = np.exp(inner)
-            norm = q.sum(axis=1)
-            hit = targets[at] - c * CLASS_WORDS
-            out[at] += inner[np.arange(len(at)), hit] - np.log(norm)
-            if grads is not None:
-                q /= norm[:, None]
-                q[np.arange(len(at)), hit] -= 1
-                grads["words"][block] += q.T @ hs[at]
-                grads["word_bias"][block] += q.sum(axis=0)
-                back[at] += q @ w["words"][block]
-        return (out, back) if grads is not None else out
+        order = order[: ends[-1]]
+        if not len(order):
+            return (out, back) if grads is not None else out
+        # targets of a class are neighbours from here on
+        hs, hit, at = hs[order], targets[order] % CLASS_WORDS, rows[: len(order)]
+        spans = [(slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS), slice(a, b)) for c, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+        q = np.empty((CLASS_WORDS, len(order)), hs.dtype)
+        for block, part in spans:
+            np.add(w["words"][block] @ hs[part].T, w["word_bias"][block][:, None], out=q[:, part])
+        inner, norm = _softmax(q, hit, at)
+        out[order] += inner
+        if grads is None:
+            return out
+        q /= norm
+        q[hit, at] -= 1
+        more = np.empty_like(hs)
+        for block, part in spans:
+            grads["words"][block] += q[:, part] @ hs[part]
+            grads["word_bias"][block] += q[:, part].sum(axis=1)
+            np.matmul(q[:, part].T, w["words"][block], out=more[part])
+        back[order] += more
+        return out, back
 
     def window(self, inputs, fresh, h, targets, live):
         """Loss gradient over one window of truncated backpropagation; returns the state after it."""
-        w, steps = self.w, len(inputs)
-        seen = []
+        w, (steps, lanes) = self.w, inputs.shape
+        tables, state = self.gates()
+        keep = (~fresh).astype(state.dtype)[:, :, None]
+        x = self.by_gate(tables, inputs)
+        before, n, hs = np.empty((3, steps, lanes, HIDDEN), state.dtype)
+        gates = np.empty_like(x)
         for t in range(steps):
-            h = np.where(fresh[t][:, None], 0, h).astype(np.float32)
-            before = h
-            h, z, r, n, g = self.step(w["inputs"][inputs[t]], h)
-            seen.append((before, z, r, n, g, h))
+            np.multiply(h, keep[t], out=before[t])
+            h = self.step(x[t], before[t], state, gates[t], n[t], hs[t])
+        z, r, g = gates.swapaxes(0, 1)
         grads = {k: np.zeros_like(x) for k, x in w.items()}
-        hs = np.stack([s[5] for s in seen])[live]
-        out, back = self.outputs(hs, targets[live], grads)
-        dhs = np.zeros((*live.shape, HIDDEN), np.float32)
+        out, back = self.outputs(hs[live], targets[live], grads)
+        dhs = np.zeros_like(hs)
         dhs[live] = back
-        dh = np.zeros_like(h)
-        flow = np.zeros((*live.shape, 3 * HIDDEN), np.float32)
+        # what a state's gradient is multiplied by, for all steps at once
+        by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), g * r * (1 - r)
+        dz, dr, dn, dg = np.empty((4, steps, lanes, HIDDEN), state.dtype)
+        turned = state.swapaxes(1, 2)
+        dh = np.zeros_like(dhs[0])
         for t in reversed(range(steps)):
-            before, z, r, n, g, _ = seen[t]
-            dh = dh + dhs[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * g * r * (1 - r)
-            flow[t] = np.concatenate([dz, dr, dn], axis=1)
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["state"] += before.T @ dg
-            dh = np.where(fresh[t][:, None], 0, dh * z + dg @ w["state"].T).astype(np.float32)
-        order = np.argsort(inputs[live], kind="stable")
-        used, starts = np.unique(inputs[live][order], return_index=True)
+            dh += dhs[t]
+            np.multiply(dh, by_z[t], out=dz[t])
+            np.multiply(dh, by_n[t], out=dn[t])
+            np.multiply(dn[t], by_r[t], out=dr[t])
+            np.multiply(dn[t], r[t], out=dg[t])
+            dh *= z[t]
+            dh += dz[t] @ turned[0]
+            dh += dr[t] @ turned[1]
+            dh += dg[t] @ turned[2]
+            dh *= keep[t]
+        flat = before.reshape(-1, HIDDEN).T
+        grads["state"] = np.concatenate([flat @ d.reshape(-1, HIDDEN) for d in (dz, dr, dg)], axis=1)
+        at = np.flatnonzero(live)
+        at = at[np.argsort(inputs.ravel()[at].astype(np.int16), kind="stable")]
+        used, starts = np.unique(inputs.ravel()[at], return_index=True)
         if len(used):
-            grads["inputs"][used] = np.add.reduceat(flow[live][order], starts, axis=0)
-        return h, grads, float(-out.sum()), len(out)
+            flow = np.concatenate([d.reshape(-1, HIDDEN)[at] for d in (dz, dr, dn)], axis=1)
+            grads["inputs"][used] = np.add.reduceat(flow, starts, axis=0)
+        return h.copy(), grads, float(-out.sum()), len(out)
 
     def train(self, docs: list[np.ndarray], passes: int = PASSES, lanes: int = TRAIN_LANES) -> int:
         """Adam over windows of lanes of documents; returns the number of tokens seen in a pass.
@@ -292,14 +349,19 @@ class Network:
         if not self.moments:
             self.moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in self.w.items()}
         self.steps += 1
-        size = np.sqrt(sum(float((g / n) @ (g / n)) for g in map(np.ravel, grads.values())))
+        size = np.sqrt(sum(float(g @ g) for g in map(np.ravel, grads.values()))) / n
         scale = min(1.0, CLIP / max(size, 1e-12)) / n
         for name, g in grads.items():
             first, second = self.moments[name]
             g *= scale
-            first += 0.1 * (g - first)
-            second += 0.01 * (g * g - second)
-            self.w[name] -= RATE * (first / (1 - 0.9**self.steps)) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-6)
+            first *= 0.9
+            first += 0.1 * g
+            second *= 0.99
+            g *= g
+            second += np.multiply(g, 0.01, out=g)
+            np.sqrt(np.divide(second, 1 - 0.99**self.steps, out=g), out=g)
+            g += 1e-6
+            self.w[name] -= np.divide(first, g, out=g) * (RATE / (1 - 0.9**self.steps))
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Log10 chance of each document's classes and head words, states carried over windows."""
@@ -309,20 +371,30 @@ class Network:
         total = np.zeros(len(docs))
         h = np.zeros((ids.shape[1], HIDDEN), np.float32)
         active = np.array([np.flatnonzero(~c)[-1] for c in fresh.T])
-        hs = np.zeros((WINDOW, ids.shape[1], HIDDEN), np.float32)
+        tables, state = self.gates()
         for t in range(0, len(ids) - 1, WINDOW):
             steps = min(WINDOW, len(ids) - 1 - t)
             width = int(np.count_nonzero(active > t))  # lanes are in falling order of length
+            h, hs = h[:width], np.empty((steps, width, HIDDEN), np.float32)
+            g, n = np.empty((3, width, HIDDEN), np.float32), np.empty((width, HIDDEN), np.float32)
+            keep = (~fresh[t : t + steps, :width]).astype(np.float32)[:, :, None]
             for s in range(steps):
-                h[:width][fresh[t + s, :width]] = 0
-                h[:width] = self.step(self.w["inputs"][ids[t + s, :width]], h[:width])[0]
-                hs[s, :width] = h[:width]
+                h = self.step(self.by_gate(tables, ids[t + s, :width]), h * keep[s], state, g, n, hs[s])
             use = ~fresh[t + 1 : t + 1 + steps, :width]
-            out = self.outputs(hs[:steps, :width][use], ids[t + 1 : t + 1 + steps, :width][use])
+            out = self.outputs(hs[use], ids[t + 1 : t + 1 + steps, :width][use])
             total += np.bincount(owner[t + 1 : t + 1 + steps, :width][use], out, len(docs))
         return total / np.log(10)
 
 
+def _softmax(p: np.ndarray, hit: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials in place of the columns of ``p``; the log share of row ``hit`` of each, and the sums."""
+    p -= p.max(axis=0)
+    own = p[hit, at]
+    np.exp(p, out=p)
+    norm = p.sum(axis=0)
+    return own - np.log(norm), norm
+
+
 def lay_out(docs: list[np.ndarray], lanes: int, start: int, mixed: bool = False):
     """Documents end to end in lanes, each after a start mark: ids, fresh (no target), owner.
 
@@ -346,16 +418,42 @@ def lay_out(docs: list[np.ndarray], lanes: int, start: int, mixed: bool = False)
     return ids, ids == start, owner
 
 
+@dataclass
+class Encoded:
+    """Texts as numbers: ``symbols`` are the input numbers of each text with its end.
+
+    ``ranks`` are those of the known words, ``owner`` the texts they are in, ``rare`` the
+    other words of each text with their counts.
+    """
+
+    symbols: list[np.ndarray]
+    ranks: np.ndarray
+    owner: np.ndarray
+    rare: list[Counter]
+
+
+def encode_words(words: pa.Array, counts: np.ndarray, v: Vocabulary) -> Encoded:
+    """Texts given by their words one after the other and the number of words of each."""
+    ranks = pc.fill_null(pc.index_in(words, value_set=v.words), -1).to_numpy()
+    owner, known = np.repeat(np.arange(len(counts), dtype=np.int32), counts), ranks >= 0
+    unknown = words.filter(pa.array(~known)).view(pa.binary()).to_pylist()
+    coded = np.empty(len(ranks), np.int32)
+    coded[known] = v.symbol[ranks[known]]
+    coded[~known] = [v.head + v.tail_class(w) for w in unknown]
+    ends = np.cumsum(counts)
+    flat = np.insert(coded, ends, v.ranks.get(END, v.head + len(v.mass) - 1))
+    cuts = np.concatenate([[0], ends + np.arange(1, len(counts) + 1)])
+    rare_cuts = np.searchsorted(owner[~known], np.arange(len(counts) + 1)) if unknown else np.zeros(len(counts) + 1, int)
+    return Encoded(
+        [flat[a:b] for a, b in zip(cuts, cuts[1:])], ranks[known], owner[known],
+        [Counter(unknown[a:b]) for a, b in zip(rare_cuts, rare_cuts[1:])],
+    )
+
+
 def encode(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
     """Input numbers of a text with its end, ranks of its known words, and its rare words with their counts."""
-    rank = np.fromiter(map(v.ranks.get, words, repeat(-1)), np.int64, len(words))
-    symbols = np.empty(len(words) + 1, np.int32)
-    symbols[-1] = v.ranks.get(END, v.head + len(v.mass) - 1)
-    known = rank >= 0
-    symbols[:-1][known] = v.symbol[rank[known]]
-    rare = [words[i] for i in np.flatnonzero(~known)]
-    symbols[:-1][~known] = [v.head + v.tail_class(w) for w in rare]
-    return symbols, rank[known], Counter(rare)
+    done = encode_words(pa.array(words, pa.binary()).view(pa.string()), np.array([len(words)]), v)
+    return done.symbols[0], done.ranks, done.rare[0]
 
 
 def rounds_for(tokens: int) -> int:
@@ -378,9 +476,9 @@ def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
 
         def worker(batches, weights=weights):
             own, docs, held, n = Network(v, weights), [], 0, 0
-            for text in (t for b in batches for t in b["_text"]):
-                docs.append(encode(words_of(text), v)[0])
-                held += len(docs[-1])
+            for texts in (b["_text"][part] for b in batches for part in parts_of(b["_text"])):
+                docs += encode_words(*words_in(texts), v).symbols
+                held = sum(map(len, docs))
                 if held >= 1.5 * REPLICA_TOKENS:
                     n += own.train(docs)
                     docs, held = [], 0
@@ -419,24 +517,20 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
 
     def worker(batches):
         net = Network(v, weights)
-        names = (id_col, "held_out", "row", "n_tokens", "n_known", "base_score", "score", "rare")
         for b in batches:
-            out, symbols, held = {n: [] for n in names}, [], 0
-            for k, text in enumerate(b["_text"]):
-                ids, ranks, rare = encode(words_of(text), v)
-                symbols.append(ids)
-                n, end, tail = len(ids), v.ranks.get(END), ranks[ranks >= v.head]
-                base = v.base[ranks].sum() + (v.base[end] if end is not None else np.log10(ADD)) - n * base_norm
-                own = [{"word": w, "k": c, "tail": v.tail_class(w)} for w, c in rare.items()] or None
-                row = (b[id_col][k], b["held_out"][k], b["row"][k], n, len(ranks) + (end is not None), float(base), float(v.inner[tail].sum()), own)
-                for name, value in zip(names, row):
-                    out[name].append(value)
-                held += n
-                if held >= SIDE_BY_SIDE or k + 1 == len(b["_text"]):
-                    out["score"] = (np.array(out["score"]) + net.score(symbols)).tolist()
-                    out["rare"] = pa.array(out["rare"], rare_arrow)
-                    yield out
-                    out, symbols, held = {n: [] for n in names}, [], 0
+            for part in parts_of(b["_text"]):
+                done = encode_words(*words_in(b["_text"][part]), v)
+                counts = np.array([len(x) - 1 for x in done.symbols])
+                end, texts, tail = v.ranks.get(END), len(counts), done.ranks >= v.head
+                sums = lambda of, values: np.bincount(of, values, texts)
+                base = sums(done.owner, v.base[done.ranks]) + (v.base[end] if end is not None else np.log10(ADD)) - (counts + 1) * base_norm
+                inner = sums(done.owner[tail], v.inner[done.ranks[tail]])
+                rare = [[{"word": w, "k": c, "tail": v.tail_class(w)} for w, c in own.items()] or None for own in done.rare]
+                yield {
+                    **{n: b[n][part] for n in (id_col, "held_out", "row")}, "n_tokens": pa.array(counts + 1),
+                    "n_known": pa.array(np.bincount(done.owner, minlength=texts) + (end is not None)), "base_score": pa.array(base),
+                    "score": pa.array(inner + net.score(done.symbols)), "rare": pa.array(rare, rare_arrow),
+                }
 
     rare_type = T.ArrayType(T.StructType([
         T.StructField("word", T.BinaryType()), T.StructField("k", T.IntegerType()), T.StructField("tail", T.IntegerType()),

@@ -1,7 +1,10 @@
+from collections import Counter
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from tablecraft.llm import lm
-from tablecraft.llm.text import as_bytes, remainder
+from tablecraft.llm.text import as_bytes, remainder, words_of
 
 
 def test_rounds_train_on_every_training_document(spark, folder, monkeypatch):
@@ -17,3 +20,26 @@ def test_rounds_train_on_every_training_document(spark, folder, monkeypatch):
     monkeypatch.setattr(lm, "map_rows", watched)
     lm.train_network(train, v)
     assert sorted(seen) == sorted(bytes(r._text) for r in train.collect())
+
+
+def test_texts_are_cut_and_looked_up_by_part(monkeypatch):
+    """Words of many texts go through one kernel call, and come out as those of each text alone."""
+    odd = [b"", b" ", b"  A b\x0b\x0cC\xc3\x89 \n", bytes(range(256)) * 2, b"\x1c\x1d x\x1fy\x85\xa0z", "É ß ñ one".encode(), b"one One two "]
+    texts = odd + [b"one two " * 9, b"three"] * 50
+    counts = Counter(w for t in texts for w in words_of(t)) + Counter({lm.END: len(texts)})
+    ranks = {w: i for i, w in enumerate([lm.END, b"one", b"two", b"b"])}
+    mass = np.array([3.0, 5.0])
+    v = lm.Vocabulary(ranks, np.array([counts[w] for w in ranks], float), 2, {b"t": 0}, mass, mass, 0.5, sum(counts.values()), len(counts))
+    calls, index_in = [], lm.pc.index_in
+    monkeypatch.setattr(lm, "PART_BYTES", 600)
+    monkeypatch.setattr(lm.pc, "index_in", lambda *a, **k: calls.append(1) or index_in(*a, **k))
+    parts = list(lm.parts_of(texts))
+    done = [lm.encode_words(*lm.words_in(texts[p]), v) for p in parts]
+    assert len(calls) == len(parts) < len(texts) / 4 and [k for p in parts for k in range(p.start, p.stop)] == list(range(len(texts)))
+    symbol = lambda w: ranks[w] if w in (lm.END, b"one") else v.head + v.tail_class(w)
+    for text, numbers, rare in zip(texts, (s for d in done for s in d.symbols), (r for d in done for r in d.rare)):
+        words = words_of(text)
+        assert numbers.tolist() == [symbol(w) for w in [*words, lm.END]]
+        assert rare == Counter(w for w in words if w not in ranks)
+    known = [[w for t in texts[p] for w in words_of(t) if w in ranks] for p in parts]
+    assert [d.ranks.tolist() for d in done] == [[ranks[w] for w in k] for k in known]
