@@ -38,7 +38,7 @@ HEAD, CLASS_WORDS, TAIL_CLASSES, HIDDEN = 1024, 32, 32, 24
 KNOWN = 200_000
 LANES, WINDOW = 512, 32
 #: Bytes of texts that a task cuts into words and scores side by side; a longer text is a part of its own.
-PART_BYTES = 12_000_000
+PART_BYTES = 8_000_000
 #: The training documents are dealt out to the rounds, so that these cover all of them: ROUNDS rounds for up to
 #: MANY replicas, and one more for each eight times as many. PASSES: of a task over its documents.
 ROUNDS, MANY, PASSES = 2, 32, 1
