@@ -37,8 +37,16 @@ from tablecraft.plans.storage import written
 HEAD, CLASS_WORDS, TAIL_CLASSES, HIDDEN = 1024, 32, 32, 24
 KNOWN = 200_000
 LANES, WINDOW = 512, 32
-#: Bytes of texts that a task cuts into words and scores side by side; a longer text is a part of its own.
+#: Targets whose softmaxes are held at once, so that they stay in a core's cache.
+TOGETHER = 2_048
+#: Logits up to FAR need no shift before their exponentials.
+FAR = 80.0
+#: Rows of an input from which their sum is a product with ones.
+MANY_ROWS = 16
+#: Bytes of texts that a task cuts into words at once; a longer text is a part of its own.
 PART_BYTES = 8_000_000
+#: Tokens from which a task scores the texts it holds, side by side; the longest of them goes on alone for fewer of all steps then.
+SCORED_TOKENS = 4_000_000
 #: The training documents are dealt out to the rounds, so that these cover all of them: ROUNDS rounds for up to
 #: MANY replicas, and one more for each eight times as many. PASSES: of a task over its documents.
 ROUNDS, MANY, PASSES = 2, 32, 1
@@ -123,10 +131,21 @@ class Vocabulary:
         self.inner[self.head :] = np.log10((self.counts[self.head :] - self.discount) / (self.mass[tail] + 1))
         self.base = np.log10(self.counts + ADD)
         self.inputs = self.head + len(self.mass) + 1
+        numbers = np.arange(self.inputs)
+        self.class_of = np.where(numbers < self.head, numbers // CLASS_WORDS, numbers - self.head + self.head_classes).astype(np.int16)
 
     def tail_class(self, word: bytes) -> int:
         return self.letters.get(first_letter(word), len(self.mass) - 1)
 
+    def tail_classes(self, words: pa.Array) -> np.ndarray:
+        """Tail classes of binary words without gaps or nulls; those that begin with ASCII by their first byte."""
+        ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset)
+        lead = np.frombuffer(words.buffers()[2], np.uint8)[ends[:-1]] if len(words) else np.zeros(0, np.uint8)
+        out = np.array([self.letters.get(bytes([k]), len(self.mass) - 1) for k in range(128)], np.int32)[lead & 127]
+        wide = np.flatnonzero(lead > 127)
+        out[wide] = [self.tail_class(w) for w in words.take(pa.array(wide)).to_pylist()]
+        return out
+
     def unseen(self, tail: int) -> float:
         return float(np.log10((self.discount * self.kinds[tail] + 1) / (self.mass[tail] + 1)))
 
@@ -204,96 +223,114 @@ class Network:
         self.steps = 0
 
     def gates(self):
-        """Tables of the inputs, one below the other, and of the state, by gate: update, reset, new."""
-        inputs, state = (np.ascontiguousarray(self.w[k].reshape(-1, 3, HIDDEN).swapaxes(0, 1)) for k in ("inputs", "state"))
-        return inputs.reshape(-1, HIDDEN), state
+        """Table of the inputs, and that of the state turned, gates side by side: update, reset, new.
 
-    def by_gate(self, table, symbols):
-        """Rows of the inputs, for each step by gate and lane."""
-        at = symbols[..., None, :] + (np.arange(3) * self.v.inputs)[:, None]
-        return table.take(at, axis=0)
+        Those of the first two are halved, as their sigmoid is taken by tanh of the half.
+        """
+        half = np.repeat(np.array([0.5, 0.5, 1.0], self.w["state"].dtype), HIDDEN)
+        return self.w["inputs"] * half, np.ascontiguousarray((self.w["state"] * half).T)
 
     def step(self, x, h, state, g, n, new):
-        """The next state, with what it came from, into ``g`` (gates and the state's part of the third), ``n`` and ``new``."""
-        np.matmul(h, state, out=g)
-        gates = g[:2]
-        gates += x[:2]
-        np.negative(gates, out=gates)
-        np.exp(gates, out=gates)
-        gates += 1
-        z, r = np.reciprocal(gates, out=gates)
-        np.multiply(r, g[2], out=n)
-        n += x[2]
+        """The next state, with what it came from, into ``g`` (gates and the state's part of the third), ``n`` and ``new``.
+
+        A column per lane, so that what belongs to a gate lies in one piece; ``x`` has a row per lane.
+        """
+        np.matmul(state, h, out=g)
+        gates, z, r, rest = g[: 2 * HIDDEN], g[:HIDDEN], g[HIDDEN : 2 * HIDDEN], g[2 * HIDDEN :]
+        x = np.ascontiguousarray(x.T)
+        gates += x[: 2 * HIDDEN]
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        np.multiply(r, rest, out=n)
+        n += x[2 * HIDDEN :]
         np.tanh(n, out=n)
         np.subtract(h, n, out=new)
         new *= z
         new += n
         return new
 
-    def classes_of(self, symbols):
-        return np.where(symbols < self.v.head, symbols // CLASS_WORDS, symbols - self.v.head + self.v.head_classes)
+    def layers(self):
+        """The words' weights turned, by class, and whether logits may be beyond FAR: states lie between -1 and 1."""
+        w = self.w
+        words = np.ascontiguousarray(w["words"].reshape(-1, CLASS_WORDS, HIDDEN).swapaxes(1, 2))
+        reach = np.abs(w["classes"]).sum(axis=0) + np.abs(w["class_bias"]), np.abs(w["words"]).sum(axis=1) + np.abs(w["word_bias"])
+        return words, max(x.max(initial=0) for x in reach) > FAR
 
-    def outputs(self, hs, targets, grads=None):
+    def outputs(self, hs, targets, grads=None, layers=None, rows=None):
         """Natural-log chance of each target given its state; with ``grads`` also the gradient of the loss.
 
-        Softmaxes stand upright, a column per target, so that their sums run along the memory.
+        Targets are taken by class, TOGETHER at a time. ``rows``: those of the targets in ``hs``, if not all.
         """
-        w, rows = self.w, np.arange(len(hs))
-        own = self.classes_of(targets)
-        p = w["classes"].T @ hs.T
-        p += w["class_bias"][:, None]
-        out, norm = _softmax(p, own, rows)
-        if grads is not None:
-            p /= norm
-            p[own, rows] -= 1
-            grads["classes"] += (p @ hs).T
-            grads["class_bias"] += p.sum(axis=1)
-            back = p.T @ w["classes"].T
-        order = np.argsort(own.astype(np.int16), kind="stable")
-        ends = np.searchsorted(own[order], np.arange(self.v.head_classes + 1))
-        order = order[: ends[-1]]
-        if not len(order):
-            return (out, back) if grads is not None else out
-        # targets of a class are neighbours from here on
-        hs, hit, at = hs[order], targets[order] % CLASS_WORDS, rows[: len(order)]
-        spans = [(slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS), slice(a, b)) for c, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
-        q = np.empty((CLASS_WORDS, len(order)), hs.dtype)
-        for block, part in spans:
-            np.add(w["words"][block] @ hs[part].T, w["word_bias"][block][:, None], out=q[:, part])
-        inner, norm = _softmax(q, hit, at)
-        out[order] += inner
-        if grads is None:
-            return out
-        q /= norm
-        q[hit, at] -= 1
-        more = np.empty_like(hs)
-        for block, part in spans:
-            grads["words"][block] += q[:, part] @ hs[part]
-            grads["word_bias"][block] += q[:, part].sum(axis=1)
-            np.matmul(q[:, part].T, w["words"][block], out=more[part])
-        back[order] += more
-        return out, back
+        w, own = self.w, self.v.class_of[targets]
+        words, far = layers or self.layers()
+        order = np.argsort(own, kind="stable")
+        rows, whole = order if rows is None else rows[order], len(hs)
+        own, hit, hs = own[order], targets[order] % CLASS_WORDS, hs[rows]
+        out = np.empty(len(hs), hs.dtype)
+        turned, back = np.ascontiguousarray(w["classes"].T), np.empty_like(hs)
+        biases = w["word_bias"].reshape(-1, CLASS_WORDS)
+        for a in range(0, len(hs), TOGETHER):
+            x, at = hs[a : a + TOGETHER], own[a : a + TOGETHER]
+            p = x @ w["classes"]
+            p += w["class_bias"]
+            out[a : a + len(x)], norm = _softmax(p, at, far)
+            if grads is not None:
+                _less_hits(p, at, norm)
+                grads["classes"] += x.T @ p
+                grads["class_bias"] += np.ones(len(x), p.dtype) @ p
+                np.matmul(p, turned, out=back[a : a + len(x)])
+            # targets of a class are neighbours; those of the head come first
+            first, last = at[0], min(at[-1] + 1, self.v.head_classes)
+            ends = np.searchsorted(at, np.arange(first, last + 1)).tolist() if first < last else [0]
+            if not ends[-1]:
+                continue
+            x, at = x[: ends[-1]], slice(a, a + ends[-1])
+            spans = [(c, slice(i, j)) for c, i, j in zip(range(first, last), ends, ends[1:]) if i < j]
+            q = np.empty((len(x), CLASS_WORDS), hs.dtype)
+            for c, part in spans:
+                np.matmul(x[part], words[c], out=q[part])
+            q += biases.take(own[at], axis=0)
+            inner, norm = _softmax(q, hit[at], far)
+            out[at] += inner
+            if grads is not None:
+                _less_hits(q, hit[at], norm)
+                flow, ones = np.empty_like(x), np.ones(len(x), x.dtype)
+                for c, part in spans:
+                    block, some = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS), q[part]
+                    grads["words"][block] += some.T @ x[part]
+                    grads["word_bias"][block] += ones[part] @ some
+                    np.matmul(some, w["words"][block], out=flow[part])
+                back[at] += flow
+        return _placed(out, order, len(order)) if grads is None else (_placed(out, order, len(order)), _placed(back, rows, whole))
 
     def window(self, inputs, fresh, h, targets, live):
         """Loss gradient over one window of truncated backpropagation; returns the state after it."""
         w, (steps, lanes) = self.w, inputs.shape
-        tables, state = self.gates()
-        keep = (~fresh).astype(state.dtype)[:, :, None]
-        x = self.by_gate(tables, inputs)
-        before, n, hs = np.empty((3, steps, lanes, HIDDEN), state.dtype)
-        gates = np.empty_like(x)
+        table, state = self.gates()
+        keep, starts = (~fresh).astype(state.dtype), fresh.any(axis=1)
+        before, n, hs = np.empty((3, steps, HIDDEN, lanes), state.dtype)
+        gates = np.empty((steps, 3 * HIDDEN, lanes), state.dtype)
+        h = h.T
         for t in range(steps):
             np.multiply(h, keep[t], out=before[t])
-            h = self.step(x[t], before[t], state, gates[t], n[t], hs[t])
-        z, r, g = gates.swapaxes(0, 1)
+            h = self.step(table.take(inputs[t], axis=0), before[t], state, gates[t], n[t], hs[t])
         grads = {k: np.zeros_like(x) for k, x in w.items()}
-        out, back = self.outputs(hs[live], targets[live], grads)
-        dhs = np.zeros_like(hs)
-        dhs[live] = back
+        at = np.flatnonzero(live)
+        out, back = self.outputs(hs.swapaxes(1, 2).reshape(-1, HIDDEN), targets.ravel()[at], grads, rows=at)
+        dhs = np.ascontiguousarray(back.reshape(steps, lanes, HIDDEN).swapaxes(1, 2))
         # what a state's gradient is multiplied by, for all steps at once
-        by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), g * r * (1 - r)
-        dz, dr, dn, dg = np.empty((4, steps, lanes, HIDDEN), state.dtype)
-        turned = state.swapaxes(1, 2)
+        z, r, g = (gates[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
+        by_z, by_n, by_r, rest = before - n, n * n, 1 - r, 1 - z
+        by_z *= z
+        by_z *= rest
+        np.subtract(1, by_n, out=by_n)
+        by_n *= rest
+        by_r *= r
+        by_r *= g
+        # one below the other: the first three are of the inputs, the last three of the state
+        flow = np.empty((steps, 4 * HIDDEN, lanes), state.dtype)
+        dn, dz, dr, dg = (flow[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
         dh = np.zeros_like(dhs[0])
         for t in reversed(range(steps)):
             dh += dhs[t]
@@ -302,19 +339,16 @@ class Network:
             np.multiply(dn[t], by_r[t], out=dr[t])
             np.multiply(dn[t], r[t], out=dg[t])
             dh *= z[t]
-            dh += dz[t] @ turned[0]
-            dh += dr[t] @ turned[1]
-            dh += dg[t] @ turned[2]
-            dh *= keep[t]
-        flat = before.reshape(-1, HIDDEN).T
-        grads["state"] = np.concatenate([flat @ d.reshape(-1, HIDDEN) for d in (dz, dr, dg)], axis=1)
-        at = np.flatnonzero(live)
-        at = at[np.argsort(inputs.ravel()[at].astype(np.int16), kind="stable")]
-        used, starts = np.unique(inputs.ravel()[at], return_index=True)
-        if len(used):
-            flow = np.concatenate([d.reshape(-1, HIDDEN)[at] for d in (dz, dr, dn)], axis=1)
-            grads["inputs"][used] = np.add.reduceat(flow, starts, axis=0)
-        return h.copy(), grads, float(-out.sum()), len(out)
+            dh += w["state"] @ flow[t, HIDDEN:]
+            if starts[t]:
+                dh *= keep[t]
+        grads["state"] = np.matmul(flow[:, HIDDEN:], before.swapaxes(1, 2)).sum(axis=0).T
+        rows = np.empty((steps, lanes, 3 * HIDDEN), state.dtype)
+        for k, part in enumerate((dz, dr, dn)):
+            rows[:, :, k * HIDDEN : (k + 1) * HIDDEN] = part.swapaxes(1, 2)
+        used, sums = sums_by(inputs.ravel()[at], rows.reshape(-1, 3 * HIDDEN), at)
+        grads["inputs"][used] = sums
+        return h.T.copy(), grads, float(-out.sum()), len(out)
 
     def train(self, docs: list[np.ndarray], passes: int = PASSES, lanes: int = TRAIN_LANES) -> int:
         """Adam over windows of lanes of documents; returns the number of tokens seen in a pass.
@@ -351,17 +385,22 @@ class Network:
         self.steps += 1
         size = np.sqrt(sum(float(g @ g) for g in map(np.ravel, grads.values()))) / n
         scale = min(1.0, CLIP / max(size, 1e-12)) / n
+        # moments of ten and a hundred times the size, with what sets them right in two factors
+        root = np.sqrt((1 - 0.99**self.steps) / 0.01)
+        rate = RATE * 0.1 / (1 - 0.9**self.steps) * root
         for name, g in grads.items():
             first, second = self.moments[name]
             g *= scale
             first *= 0.9
-            first += 0.1 * g
+            first += g
             second *= 0.99
             g *= g
-            second += np.multiply(g, 0.01, out=g)
-            np.sqrt(np.divide(second, 1 - 0.99**self.steps, out=g), out=g)
-            g += 1e-6
-            self.w[name] -= np.divide(first, g, out=g) * (RATE / (1 - 0.9**self.steps))
+            second += g
+            np.sqrt(second, out=g)
+            g += 1e-6 * root
+            np.divide(first, g, out=g)
+            g *= rate
+            self.w[name] -= g
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Log10 chance of each document's classes and head words, states carried over windows."""
@@ -369,32 +408,67 @@ class Network:
             return np.zeros(0)
         ids, fresh, owner = lay_out(docs, min(LANES, len(docs)), self.v.inputs - 1)
         total = np.zeros(len(docs))
-        h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, ids.shape[1]), np.float32)
         active = np.array([np.flatnonzero(~c)[-1] for c in fresh.T])
-        tables, state = self.gates()
+        table, state = self.gates()
+        layers = self.layers()
         for t in range(0, len(ids) - 1, WINDOW):
             steps = min(WINDOW, len(ids) - 1 - t)
             width = int(np.count_nonzero(active > t))  # lanes are in falling order of length
-            h, hs = h[:width], np.empty((steps, width, HIDDEN), np.float32)
-            g, n = np.empty((3, width, HIDDEN), np.float32), np.empty((width, HIDDEN), np.float32)
-            keep = (~fresh[t : t + steps, :width]).astype(np.float32)[:, :, None]
+            h, hs = h[:, :width], np.empty((steps, HIDDEN, width), np.float32)
+            g, n = np.empty((3 * HIDDEN, width), np.float32), np.empty((HIDDEN, width), np.float32)
+            keep = (~fresh[t : t + steps, :width]).astype(np.float32)
             for s in range(steps):
-                h = self.step(self.by_gate(tables, ids[t + s, :width]), h * keep[s], state, g, n, hs[s])
+                h = self.step(table.take(ids[t + s, :width], axis=0), h * keep[s], state, g, n, hs[s])
             use = ~fresh[t + 1 : t + 1 + steps, :width]
-            out = self.outputs(hs[use], ids[t + 1 : t + 1 + steps, :width][use])
+            out = self.outputs(hs.swapaxes(1, 2)[use], ids[t + 1 : t + 1 + steps, :width][use], layers=layers)
             total += np.bincount(owner[t + 1 : t + 1 + steps, :width][use], out, len(docs))
         return total / np.log(10)
 
 
-def _softmax(p: np.ndarray, hit: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials in place of the columns of ``p``; the log share of row ``hit`` of each, and the sums."""
-    p -= p.max(axis=0)
-    own = p[hit, at]
+def _softmax(p: np.ndarray, hit: np.ndarray, far: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials in place of the rows of ``p``; the log share of column ``hit`` of each, and the sums. ``far``: they may be beyond FAR."""
+    if far:
+        p -= p.max(axis=1, keepdims=True)
+    own = p.reshape(-1).take(np.arange(len(p)) * p.shape[1] + hit)
     np.exp(p, out=p)
-    norm = p.sum(axis=0)
+    norm = p @ np.ones(p.shape[1], p.dtype)
     return own - np.log(norm), norm
 
 
+def _less_hits(p: np.ndarray, hit: np.ndarray, norm: np.ndarray) -> None:
+    """Exponentials made shares, less one in column ``hit``: the gradient of the loss."""
+    p *= (1 / norm)[:, None]
+    p.reshape(-1)[np.arange(len(p)) * p.shape[1] + hit] -= 1
+
+
+def _placed(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """``values`` at their places among ``n``, zero elsewhere."""
+    out = np.zeros((n, *values.shape[1:]), values.dtype)
+    out[at] = values
+    return out
+
+
+def sums_by(keys: np.ndarray, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, the most frequent first, and the sum of its rows; ``at`` has the row of each key."""
+    keys = keys.astype(np.int16)
+    order = np.argsort(keys, kind="stable")
+    keys, at = keys[order], at[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    sizes = np.diff(starts, append=len(keys))
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[order], sizes[order]
+    sums = np.zeros((len(starts), rows.shape[1]), rows.dtype)
+    many = int(np.count_nonzero(sizes >= MANY_ROWS))
+    ones = np.ones(sizes.max(initial=0), rows.dtype)
+    for k, (a, n) in enumerate(zip(starts[:many].tolist(), sizes[:many].tolist())):
+        np.matmul(ones[:n], rows[at[a : a + n]], out=sums[k])
+    for j in range(MANY_ROWS - 1):  # the others: first rows, second rows and so on
+        more = int(np.count_nonzero(sizes > j))
+        sums[many:more] += rows[at[starts[many:more] + j]]
+    return keys[starts], sums
+
+
 def lay_out(docs: list[np.ndarray], lanes: int, start: int, mixed: bool = False):
     """Documents end to end in lanes, each after a start mark: ids, fresh (no target), owner.
 
@@ -422,32 +496,57 @@ def lay_out(docs: list[np.ndarray], lanes: int, start: int, mixed: bool = False)
 class Encoded:
     """Texts as numbers: ``symbols`` are the input numbers of each text with its end.
 
-    ``ranks`` are those of the known words, ``owner`` the texts they are in, ``rare`` the
-    other words of each text with their counts.
+    ``ranks`` are those of the known words, ``owner`` the texts they are in.  Of the other
+    words, ``unknown`` has the different ones and ``tails`` their classes; ``at`` says which
+    ones follow each other, ``within`` the texts they are in.
     """
 
     symbols: list[np.ndarray]
     ranks: np.ndarray
     owner: np.ndarray
-    rare: list[Counter]
+    unknown: pa.Array
+    tails: np.ndarray
+    at: np.ndarray
+    within: np.ndarray
+
+    def rare_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text and unknown word in it, by text: the text, the word's place in ``unknown``, how often."""
+        pairs, k = np.unique(self.within.astype(np.int64) * max(1, len(self.unknown)) + self.at, return_counts=True)
+        return *np.divmod(pairs, max(1, len(self.unknown))), k
+
+    @property
+    def rare(self) -> list[Counter]:
+        """The unknown words of each text with their counts."""
+        own, words = [Counter() for _ in self.symbols], self.unknown.to_pylist()
+        for text, word, k in zip(*(x.tolist() for x in self.rare_counts())):
+            own[text][words[word]] = k
+        return own
+
+    def rare_lists(self, kind: pa.DataType) -> pa.Array:
+        """The unknown words of each text as structs ``word``, ``k`` and ``tail``; null where there are none."""
+        text, word, k = self.rare_counts()
+        structs = pa.StructArray.from_arrays(
+            [self.unknown.take(pa.array(word)), pa.array(k.astype(np.int32)), pa.array(self.tails[word].astype(np.int32))],
+            fields=list(kind.value_type),
+        )
+        ends = np.searchsorted(text, np.arange(len(self.symbols) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), structs, type=kind, mask=pa.array(np.diff(ends) == 0))
 
 
 def encode_words(words: pa.Array, counts: np.ndarray, v: Vocabulary) -> Encoded:
     """Texts given by their words one after the other and the number of words of each."""
     ranks = pc.fill_null(pc.index_in(words, value_set=v.words), -1).to_numpy()
     owner, known = np.repeat(np.arange(len(counts), dtype=np.int32), counts), ranks >= 0
-    unknown = words.filter(pa.array(~known)).view(pa.binary()).to_pylist()
+    others = words.filter(pa.array(~known)).dictionary_encode()
+    unknown, at = others.dictionary.view(pa.binary()), others.indices.to_numpy()
+    tails = v.tail_classes(unknown)
     coded = np.empty(len(ranks), np.int32)
     coded[known] = v.symbol[ranks[known]]
-    coded[~known] = [v.head + v.tail_class(w) for w in unknown]
+    coded[~known] = v.head + tails[at]
     ends = np.cumsum(counts)
     flat = np.insert(coded, ends, v.ranks.get(END, v.head + len(v.mass) - 1))
     cuts = np.concatenate([[0], ends + np.arange(1, len(counts) + 1)])
-    rare_cuts = np.searchsorted(owner[~known], np.arange(len(counts) + 1)) if unknown else np.zeros(len(counts) + 1, int)
-    return Encoded(
-        [flat[a:b] for a, b in zip(cuts, cuts[1:])], ranks[known], owner[known],
-        [Counter(unknown[a:b]) for a, b in zip(rare_cuts, rare_cuts[1:])],
-    )
+    return Encoded([flat[a:b] for a, b in zip(cuts, cuts[1:])], ranks[known], owner[known], unknown, tails, at, owner[~known])
 
 
 def encode(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
@@ -501,6 +600,19 @@ def train_network(train: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
     return net.w
 
 
+def held_together(parts: Iterator[tuple[dict, list[np.ndarray]]]) -> Iterator[list[tuple[dict, list[np.ndarray]]]]:
+    """Neighbouring parts until their texts have SCORED_TOKENS."""
+    held, tokens = [], 0
+    for part in parts:
+        held.append(part)
+        tokens += sum(map(len, part[1]))
+        if tokens >= SCORED_TOKENS:
+            yield held
+            held, tokens = [], 0
+    if held:
+        yield held
+
+
 def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row; the model learns from rows where ``held_out`` (a column) is false.
 
@@ -515,8 +627,8 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     weights = train_network(train, v)
     base_norm = float(np.log10(v.total + ADD * (v.distinct + 1)))
 
-    def worker(batches):
-        net = Network(v, weights)
+    def encoded(batches):
+        """Parts of rows with all but the network's share of their scores, and their texts as numbers."""
         for b in batches:
             for part in parts_of(b["_text"]):
                 done = encode_words(*words_in(b["_text"][part]), v)
@@ -524,13 +636,19 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
                 end, texts, tail = v.ranks.get(END), len(counts), done.ranks >= v.head
                 sums = lambda of, values: np.bincount(of, values, texts)
                 base = sums(done.owner, v.base[done.ranks]) + (v.base[end] if end is not None else np.log10(ADD)) - (counts + 1) * base_norm
-                inner = sums(done.owner[tail], v.inner[done.ranks[tail]])
-                rare = [[{"word": w, "k": c, "tail": v.tail_class(w)} for w, c in own.items()] or None for own in done.rare]
                 yield {
                     **{n: b[n][part] for n in (id_col, "held_out", "row")}, "n_tokens": pa.array(counts + 1),
                     "n_known": pa.array(np.bincount(done.owner, minlength=texts) + (end is not None)), "base_score": pa.array(base),
-                    "score": pa.array(inner + net.score(done.symbols)), "rare": pa.array(rare, rare_arrow),
-                }
+                    "score": sums(done.owner[tail], v.inner[done.ranks[tail]]), "rare": done.rare_lists(rare_arrow),
+                }, done.symbols
+
+    def worker(batches):
+        net = Network(v, weights)
+        for held in held_together(encoded(batches)):
+            scores, at = net.score([x for _, symbols in held for x in symbols]), 0
+            for out, symbols in held:
+                yield out | {"score": pa.array(out["score"] + scores[at : at + len(symbols)])}
+                at += len(symbols)
 
     rare_type = T.ArrayType(T.StructType([
         T.StructField("word", T.BinaryType()), T.StructField("k", T.IntegerType()), T.StructField("tail", T.IntegerType()),
